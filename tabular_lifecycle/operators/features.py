@@ -87,7 +87,7 @@ def encoding_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
         Imputer(strategy="mean", inputCols=list(numeric), outputCols=filled),
         StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=indexed, outputCols=hot, handleInvalid="keep", dropLast=True),
+        OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
         VectorAssembler(inputCols=[*filled, *hot], outputCol="assembled"),
     ]
 

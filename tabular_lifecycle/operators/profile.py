@@ -160,7 +160,8 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 1
     for c, (low, high) in ranges.items():
         position = F.floor((F.col(c) - F.lit(low)) / F.lit(high - low) * F.lit(float(bins)))
         located.append(F.struct(F.lit(c).alias("column"),
-                                F.least(position, F.lit(bins - 1)).cast("int").alias("bin")))
+                                F.when(position.isNotNull(), F.least(position, F.lit(bins - 1)))
+                                .cast("int").alias("bin")))
     counted = numbers.select(F.inline(F.array(*located))).filter(F.col("bin").isNotNull())
     counted = counted.groupBy("column", "bin").agg(F.count("*").alias("n"))
     edges = literal_table(df.sparkSession, [(c, b, low + (high - low) * b / bins, low + (high - low) * (b + 1) / bins)

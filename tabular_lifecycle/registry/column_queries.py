@@ -139,12 +139,11 @@ def log_shift(spark, sf_dir):
 
 
 @query("c4_round", """
-SELECT l_shipdate::DATE::VARCHAR AS day, round(avg(l_quantity)) AS quantity, round(avg(l_extendedprice), 2) AS price
-FROM lineitem GROUP BY 1""")
+SELECT l_suppkey, round(avg(l_quantity)) AS quantity, round(avg(l_extendedprice), 1) AS price
+FROM lineitem GROUP BY l_suppkey""")
 def round_means(spark, sf_dir):
-    day = F.col("l_shipdate").cast("date").cast("string").alias("day")
-    return fx.table(spark, sf_dir, "lineitem").groupBy(day).agg(
-        mean_rounded(F.col("l_quantity")).alias("quantity"), mean_rounded(F.col("l_extendedprice"), 2).alias("price")
+    return fx.table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        mean_rounded(F.col("l_quantity")).alias("quantity"), mean_rounded(F.col("l_extendedprice"), 1).alias("price")
     )
 
 

@@ -93,12 +93,15 @@ def modified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_score(df: DataFrame) -> DataFrame:
-    """A fixed logistic rule in place of a trained model, so that results can be checked exactly."""
+    """A fixed logistic rule in place of a trained model, so that results can be checked exactly.
+
+    Probabilities are rounded: equal odds reached by different sums are then ties everywhere.
+    """
     odds = (
         F.lit(-2.2) + F.lit(0.03) * F.col("hours_per_week") + F.lit(0.1) * F.col("log_capital_gain")
         + F.when(F.col("age_by_decade").isin("40s", "50s"), 0.5).otherwise(0.0)
     )
-    probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
+    probability = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-odds)), 6)
     return df.withColumn("probability", probability).withColumn("predicted", F.col("probability") >= 0.5)
 
 
@@ -228,8 +231,8 @@ modified AS (
 )""", ("inference",)),
     "scored": (f"""
 scored AS (
-  SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-odds)) AS probability,
-         1.0::DOUBLE / (1.0::DOUBLE + exp(-odds)) >= 0.5 AS predicted
+  SELECT *, round(1.0::DOUBLE / (1.0::DOUBLE + exp(-odds)), 6) AS probability,
+         round(1.0::DOUBLE / (1.0::DOUBLE + exp(-odds)), 6) >= 0.5 AS predicted
   FROM (SELECT *, (-2.2)::DOUBLE + 0.03::DOUBLE * hours_per_week + 0.1::DOUBLE * log_capital_gain
                   + CASE WHEN age_by_decade IN ('40s', '50s') THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS odds
         FROM (SELECT row_key, hours_per_week, log_capital_gain, age_by_decade, income, '{TRAINING}' AS dataset FROM training

@@ -105,8 +105,8 @@ _SHAPLEY_SQL = f"""
     + CASE WHEN {_mixed('age_by_decade', _POSITION['age_by_decade'])} IN ('40s', '50s') THEN 0.5::DOUBLE ELSE 0.0 END AS odds
   FROM example e, background b, (SELECT unnest(range(0, 1024))::INTEGER AS s)
 ), worth AS (
-  SELECT row_key, s, bit_count(s)::INTEGER AS k, ln(avg(1 / (1 + exp(-odds))) / (1 - avg(1 / (1 + exp(-odds))))) AS w
-  FROM mixed GROUP BY row_key, s
+  SELECT row_key, s, bit_count(s)::INTEGER AS k, ln(avg(p) / (1 - avg(p))) AS w
+  FROM (SELECT row_key, s, round(1 / (1 + exp(-odds)), 6) AS p FROM mixed) GROUP BY row_key, s
 ), facts AS (SELECT {_FACTORIALS} AS f)
 """ + " UNION ALL ".join(
     f"""SELECT row_key, '{name}' AS feature, round(sum(CASE WHEN (s >> {i}) & 1 = 1 THEN w * f[k] * f[11 - k] / f[11]
