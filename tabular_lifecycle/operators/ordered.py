@@ -68,10 +68,9 @@ def measure(
             F.kll_sketch_agg_double(values[c], _SKETCH_K).alias(f"sketch_{i}"),
             F.min(values[c]).alias(f"min_{i}"), F.max(values[c]).alias(f"max_{i}"),
         ]
-        ranks = F.array(*[F.lit(k / _MAX_CUTS) for k in range(1, _MAX_CUTS)])
-        merged = F.kll_merge_agg_double(F.when(F.col(f"min_{i}").isNotNull(), F.col(f"sketch_{i}")))
+        # A task without a usable value has an empty sketch, which is left out of the merge.
         last += [
-            F.when(F.count(f"min_{i}") > 0, F.kll_sketch_get_quantile_double(merged, ranks)).alias(f"cuts_{i}"),
+            F.kll_merge_agg_double(F.when(F.col(f"min_{i}").isNotNull(), F.col(f"sketch_{i}"))).alias(f"sketch_{i}"),
             F.min(f"min_{i}").alias(f"min_{i}"), F.max(f"max_{i}").alias(f"max_{i}"),
         ]
     # At most _MERGE_FAN_IN rows of fixed size remain, one row in the end.
@@ -83,15 +82,22 @@ def measure(
         sizes[c] = {name: int(row[f"n_{i}_{name}"] or 0) for name in conditions}
         largest = max(largest, sizes[c]["all"])
     wanted = math.ceil(largest / rows_per_bucket)
-    if wanted > 1:
-        stride = max(1, _MAX_CUTS // min(wanted, _MAX_CUTS))
-        for i, c in enumerate(columns):
-            if not sizes[c]["all"]:
-                continue
+    filled = [(i, c) for i, c in enumerate(columns) if sizes[c]["all"]]
+    if wanted > 1 and filled:
+        parts = min(wanted, _MAX_CUTS)
+        ranks = F.expr("array(" + ", ".join(f"{k / parts!r}D" for k in range(1, parts)) + ")")
+        sketches = literal_table(
+            df.sparkSession, [tuple(bytes(row[f"sketch_{i}"]) for i, _ in filled)],
+            ", ".join(f"sketch_{i} binary" for i, _ in filled),
+        )
+        cuts = sketches.select(*[
+            F.kll_sketch_get_quantile_double(f"sketch_{i}", ranks).alias(f"cuts_{i}") for i, _ in filled
+        ]).first()
+        for i, c in filled:
             low, high = row[f"min_{i}"], row[f"max_{i}"]
-            cuts = sorted({q for q in row[f"cuts_{i}"][stride - 1::stride] if low < q < high})
-            if cuts:
-                borders[c] = [low, *cuts, high]
+            inner = sorted({q for q in cuts[f"cuts_{i}"] if low < q < high})
+            if inner:
+                borders[c] = [low, *inner, high]
     return Ladder(tuple(columns), sizes, borders, steps=max(1, math.ceil(wanted / _MAX_CUTS)))
 
 

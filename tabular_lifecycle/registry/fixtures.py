@@ -323,7 +323,7 @@ def gap_ctes(name: str, training_name: str, comparison_name: str) -> str:
   SELECT q.col AS "column", CAST(n AS BIGINT) AS n, CAST(m AS BIGINT) AS m, d AS statistic,
     least(greatest(CASE
       WHEN z < 0.2 THEN 1.0
-      WHEN z * z >= 2.2 THEN 2 * exp(-pow(6 * e * d + 1, 2) / (18 * e))
+      WHEN z * z >= 4 THEN 2 * exp(-pow(6 * e * d + 1, 2) / (18 * e))
       ELSE 1 - (sqrt(pi()/2)/z * s0 + sqrt(pi()/2)/(6*pow(z,4))*s1/sqrt(e)
                 + (sqrt(pi()/2)/(72*pow(z,7))*s2 - sqrt(pi()/2)/(36*pow(z,3))*t2)/e
                 + (sqrt(pi()/2)/(6480*pow(z,10))*s3 + sqrt(pi()/2)/(108*pow(z,6))*t3)/(e*sqrt(e)))
