@@ -39,36 +39,6 @@ def two_sided(training: DataFrame, comparison: DataFrame, columns: Sequence[str]
     return side(training, False).unionByName(side(comparison, True))
 
 
-def add_pvalue(
-    df: DataFrame, statistic: str, n: str, m: str, law: str = "finite", name: str = "pvalue"
-) -> DataFrame:
-    """Add the two-sided p-value of a two-sample gap with ``n`` and ``m`` values per side.
-
-    ``limit`` is the Kolmogorov limit law. ``finite`` is the law of one sample of the effective size
-    round(n*m/(n+m)): the Pelz-Good expansion in the middle of the range, twice the one-sided tail
-    beyond it.
-    """
-    if law not in ("finite", "limit"):
-        raise ValueError("law is 'finite' or 'limit'")
-    d, n_, m_ = F.col(statistic), F.col(n).cast("double"), F.col(m).cast("double")
-    effective = n_ * m_ / (n_ + m_)
-    # Each step is a projection of its own, so that what follows refers to it instead of repeating it.
-    sized = df.withColumn("__size", effective if law == "limit" else F.round(effective))
-    sized = sized.withColumn("__z", F.sqrt("__size") * d).withColumn("__z2", F.col("__z") * F.col("__z"))
-    z, z2, size = F.col("__z"), F.col("__z2"), F.col("__size")
-    if law == "limit":
-        def alternating(total: Column, i: Column) -> Column:
-            return total + F.when(i % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * i * i * z2)
-
-        value = 2.0 * F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), alternating)
-    else:
-        value = F.when(
-            z2 >= 2.2, 2.0 * F.exp(-F.pow(6.0 * size * d + 1.0, F.lit(2.0)) / (18.0 * size))
-        ).otherwise(1.0 - _pelz_good(z, z2, size))
-    bounded = F.when(z < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)))
-    return sized.withColumn(name, F.when(d.isNotNull(), bounded)).drop("__size", "__z", "__z2")
-
-
 # Distribution function of z = sqrt(size) * D up to size**(-3/2), for z below 2. The sums run over
 # half-odd numbers (h, standing for both signs) and whole numbers (g); ten terms are beyond double
 # precision there.
@@ -77,21 +47,21 @@ aggregate(
   transform(sequence(1, 10), i -> named_struct('h', pi() * pi() * (i - 0.5D) * (i - 0.5D), 'g', pi() * pi() * i * i)),
   named_struct('k0', 0D, 'k1', 0D, 'k2', 0D, 'w2', 0D, 'k3', 0D, 'w3', 0D),
   (t, x) -> named_struct(
-    'k0', t.k0 + 2D * exp(-x.h / (2D * z2)),
-    'k1', t.k1 + 2D * (x.h - z2) * exp(-x.h / (2D * z2)),
-    'k2', t.k2 + 2D * (6D * z6 + 2D * z4 + x.h * (2D * z4 - 5D * z2) + x.h * x.h * (1D - 2D * z2)) * exp(-x.h / (2D * z2)),
-    'w2', t.w2 + 2D * x.g * exp(-x.g / (2D * z2)),
-    'k3', t.k3 + 2D * (x.h * x.h * x.h * (5D - 30D * z2) + x.h * x.h * (212D * z4 - 60D * z2)
-                       + x.h * (135D * z4 - 96D * z6) - 30D * z6 - 90D * z4 * z4) * exp(-x.h / (2D * z2)),
-    'w3', t.w3 + 2D * (3D * x.g * z2 - x.g * x.g) * exp(-x.g / (2D * z2))),
+    'k0', t.k0 + 2D * exp(-x.h / (2D * __z2)),
+    'k1', t.k1 + 2D * (x.h - __z2) * exp(-x.h / (2D * __z2)),
+    'k2', t.k2 + 2D * (6D * __z6 + 2D * __z4 + x.h * (2D * __z4 - 5D * __z2) + x.h * x.h * (1D - 2D * __z2)) * exp(-x.h / (2D * __z2)),
+    'w2', t.w2 + 2D * x.g * exp(-x.g / (2D * __z2)),
+    'k3', t.k3 + 2D * (x.h * x.h * x.h * (5D - 30D * __z2) + x.h * x.h * (212D * __z4 - 60D * __z2)
+                       + x.h * (135D * __z4 - 96D * __z6) - 30D * __z6 - 90D * __z4 * __z4) * exp(-x.h / (2D * __z2)),
+    'w3', t.w3 + 2D * (3D * x.g * __z2 - x.g * x.g) * exp(-x.g / (2D * __z2))),
   t -> sqrt(pi() / 2D) * (
-    t.k0 / z + t.k1 / (6D * z4 * sqrt(size))
-    + (t.k2 / (72D * z6 * z) - t.w2 / (36D * z2 * z)) / size
-    + (t.k3 / (6480D * z6 * z4) + t.w3 / (108D * z6)) / (size * sqrt(size))))
+    t.k0 / __z + t.k1 / (6D * __z4 * sqrt(__size))
+    + (t.k2 / (72D * __z6 * __z) - t.w2 / (36D * __z2 * __z)) / __size
+    + (t.k3 / (6480D * __z6 * __z4) + t.w3 / (108D * __z6)) / (__size * sqrt(__size))))
 """
-_UPPER_TAIL = "2D * exp(-pow(6D * size * d + 1D, 2D) / (18D * size))"
+_UPPER_TAIL = "2D * exp(-pow(6D * __size * __d + 1D, 2D) / (18D * __size))"
 _LIMIT_LAW = """
-2D * aggregate(sequence(1, 100), 0D, (t, i) -> t + if(i % 2 = 1, 1D, -1D) * exp(-2D * i * i * z2))
+2D * aggregate(sequence(1, 100), 0D, (t, i) -> t + if(i % 2 = 1, 1D, -1D) * exp(-2D * i * i * __z2))
 """
 
 
@@ -106,16 +76,17 @@ def add_pvalue(
     """
     if law not in ("finite", "limit"):
         raise ValueError("law is 'finite' or 'limit'")
-    effective = f"CAST(`{n}` AS DOUBLE) * `{m}` / (CAST(`{n}` AS DOUBLE) + `{m}`)"
+    effective = f"try_divide(CAST(`{n}` AS DOUBLE) * `{m}`, CAST(`{n}` AS DOUBLE) + `{m}`)"
     size = effective if law == "limit" else f"round({effective})"
     # The parts are one struct, computed once and referred to by name.
-    parts = F.expr(f"named_struct('size', {size}, 'd', `{statistic}`, 'z2', {size} * `{statistic}` * `{statistic}`)")
-    value = _LIMIT_LAW if law == "limit" else f"if(z2 >= 4D, {_UPPER_TAIL}, 1D - {_PELZ_GOOD})"
+    parts = F.expr(f"named_struct('__size', {size}, '__d', `{statistic}`, '__z2', {size} * `{statistic}` * `{statistic}`)")
+    value = _LIMIT_LAW if law == "limit" else f"if(__z2 >= 4D, {_UPPER_TAIL}, 1D - {_PELZ_GOOD})"
     fields = df.withColumn("__parts", parts).select(*df.columns, "__parts.*").withColumns({
-        "z": F.sqrt("z2"), "z4": F.col("z2") * F.col("z2"), "z6": F.col("z2") * F.col("z2") * F.col("z2"),
+        "__z": F.sqrt("__z2"), "__z4": F.col("__z2") * F.col("__z2"),
+        "__z6": F.col("__z2") * F.col("__z2") * F.col("__z2"),
     })
-    bounded = F.expr(f"if(z2 < 0.04D, 1D, least(greatest({value}, 0D), 1D))")
-    return fields.select(*df.columns, F.when(F.col("d").isNotNull(), bounded).alias(name))
+    bounded = F.expr(f"if(__z2 < 0.04D, 1D, least(greatest({value}, 0D), 1D))")
+    return fields.select(*df.columns, F.when(F.col("__d").isNotNull(), bounded).alias(name))
 
 
 def _signed_gap(ladder: Ladder, a: Column, b: Column) -> Column:
