@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Blanks at either end, Unicode ones and the ASCII separators included.
-_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Every character that counts as a blank at the ends of a text.
+_BLANKS = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # Java reads "12d" and "12f" as numbers; here they are text.
 _SUFFIXED = r"^\s*[+-]?[0-9.].*[dDfF]\s*$"
 
 
 def clean_category(value: Column) -> Column:
     """Strip, lower-case, drop full stops and commas, turn each inner blank into a dash."""
-    stripped = F.regexp_replace(value, _EDGES, "")
-    return F.translate(F.lower(stripped), " .,", "-")
+    return F.translate(F.lower(F.btrim(value, F.lit(_BLANKS))), " .,", "-")
 
 
 def age_band(age: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,19 +74,23 @@ def standardize(df: DataFrame, scales: Mapping[str, tuple[float, float]]) -> Dat
     return df.withColumns({c: (F.col(c) - F.lit(mean)) / F.lit(std) for c, (mean, std) in scales.items()})
 
 
-def encoding_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
+def encoding_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
     """Imputer, indexers, one-hot vectors and their composition into ``assembled``.
 
-    With unseen values kept as the last index and that index dropped, each training value has one
-    column, and unseen values and NULL have none.
+    The categories are found, and their number checked, in one scan for all columns. With unseen
+    values kept as the last index and that index dropped, each training value has one column, and
+    unseen values and NULL have none.
     """
     filled = [f"{c}_filled" for c in numeric]
     indexed = [f"{c}_index" for c in categorical]
     hot = [f"{c}_hot" for c in categorical]
+    categories = fit_categories(train, categorical)
     return [
         Imputer(strategy="mean", inputCols=list(numeric), outputCols=filled),
-        StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep",
-                      stringOrderType="alphabetAsc"),
+        *[
+            StringIndexerModel.from_labels(categories[c], inputCol=c, outputCol=i, handleInvalid="keep")
+            for c, i in zip(categorical, indexed)
+        ],
         OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
         VectorAssembler(inputCols=[*filled, *hot], outputCol="assembled"),
     ]
@@ -95,6 +99,5 @@ def encoding_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
 def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
     """All feature stages, centred and scaled into ``features``."""
     scaler = StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True)
-    return Pipeline(stages=[*encoding_stages(numeric, categorical), scaler]).fit(
-        train.select(*numeric, *categorical)
-    )
+    rows = train.select(*numeric, *categorical)
+    return Pipeline(stages=[*encoding_stages(rows, numeric, categorical), scaler]).fit(rows)

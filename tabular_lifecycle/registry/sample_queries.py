@@ -85,7 +85,7 @@ SELECT row_key, 54 AS width, round(log_capital_gain, 6) AS third,
        round(fnlwgt + hours_per_week + log_capital_gain + log_capital_loss + 6, 4) AS total FROM training""", "training"))
 def compose_columns(spark, sf_dir):
     rows = _inputs(spark, sf_dir)
-    stages = features.encoding_stages(NUMERIC_INPUTS, CATEGORICAL_INPUTS)
+    stages = features.encoding_stages(rows, NUMERIC_INPUTS, CATEGORICAL_INPUTS)
     made = Pipeline(stages=stages).fit(rows).transform(rows).withColumn("cells", vector_to_array("assembled"))
     total = F.aggregate("cells", F.lit(0.0), lambda x, y: x + y)
     return made.select(

@@ -29,7 +29,7 @@ def test_one_hot(spark):
     new = spark.createDataFrame([("x", "q"), ("unseen", None)], "c string, d string")
     wide = features.one_hot(new, categories)
     assert [tuple(r) for r in wide.select("c_x", "c_y", "d_p", "d_q").collect()] == [(1, 0, 0, 1), (0, 0, 0, 0)]
-    stages = features.encoding_stages([], ["c", "d"])[1:3]
+    stages = features.encoding_stages(train, [], ["c", "d"])[1:-1]
     made = Pipeline(stages=stages).fit(train).transform(new)
     hot = made.select(vector_to_array("c_hot"), vector_to_array("d_hot")).collect()
     assert [tuple(map(list, r)) for r in hot] == [([1, 0], [0, 1]), ([0, 0], [0, 0])]
@@ -104,20 +104,20 @@ def people(spark, n=600):
     return spark.range(n).select(
         F.concat(F.lit("k"), F.col("id")).alias("key"),
         F.when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 40).cast("double")).alias("hours"),
-        F.concat(F.lit("job"), F.col("id") % 3).alias("job"),
+        F.concat(F.lit("job"), F.col("id") % 3).alias("job"), F.lit("one").alias("place"),
         F.when((F.col("id") % 40 > 28) | (F.col("id") % 11 == 0), ">50k").otherwise("<=50k").alias("income"),
         F.col("id").alias("extra"),
     )
 
 
-INPUTS = models.Inputs(["hours"], ["job"], "income", ">50k", ["key"])
+INPUTS = models.Inputs(["hours"], ["job", "place"], "income", ">50k", ["key"])
 
 
 def test_fit_score_save_load(spark, tmp_path):
     df = people(spark)
     tree = DecisionTreeClassifier(featuresCol="features", labelCol="target", maxDepth=4, seed=1)
     model = models.fit_stages(df.drop("extra"), INPUTS, tree)
-    new = spark.createDataFrame([("n1", None, "unseen", "<=50k", 1), ("n2", 35.0, None, ">50k", 2)], df.schema)
+    new = spark.createDataFrame([("n1", None, "unseen", "elsewhere", "<=50k", 1), ("n2", 35.0, None, "one", ">50k", 2)], df.schema)
     scored = models.score(model, df.unionByName(new).withColumn("dataset", F.lit("all")))
     assert scored.count() == 602 and "extra" in scored.columns
     assert models.evaluate(scored, INPUTS).first()["roc_auc_score"] > 0.8

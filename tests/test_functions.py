@@ -11,6 +11,13 @@ def one(spark, rows, ddl, column):
     return [r[0] for r in spark.createDataFrame([(r,) for r in rows], ddl).select(column).collect()]
 
 
+def test_clean_category_strips_what_python_strips(spark):
+    ends = [chr(c) for c in range(0x3001) if chr(c).isspace()] + ["\u200b", "\ufeff", "."]
+    rows = [f"{e}{e}Ab c{e}" for e in ends]
+    expected = [r.strip().lower().replace(".", "").replace(",", "").replace(" ", "-") for r in rows]
+    assert one(spark, rows, "v string", fn.clean_category(F.col("v"))) == expected
+
+
 def test_clean_category(spark):
     rows = [None, "", " ", "\tPrivate", " A. b,c d", "a  b", "US.", " Wide ", " <=50K."]
     got = one(spark, rows, "v string", fn.clean_category(F.col("v")))
