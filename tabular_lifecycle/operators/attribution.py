@@ -71,10 +71,7 @@ def shapley_values(
             F.get(F.array(*map(F.lit, outside)), size)
         )
         shares.append(F.struct(F.lit(f).alias("feature"), (weight * F.col("__worth")).alias("share")))
-    values = worth.select(*keys, F.inline(F.array(*shares))).groupBy(*keys, "feature").agg(
+    shares += [F.struct(F.lit(f).alias("feature"), F.lit(0.0).alias("share")) for f in silent]
+    return worth.select(*keys, F.inline(F.array(*shares))).groupBy(*keys, "feature").agg(
         F.sum("share").alias("value")
     )
-    if silent:
-        zeros = examples.select(*keys, F.explode(F.array(*map(F.lit, silent))).alias("feature"))
-        values = values.unionByName(zeros.withColumn("value", F.lit(0.0)))
-    return values

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -60,16 +60,16 @@ def overview(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
     )
 
 
-def _moments(df: DataFrame, columns: Sequence[str], functions) -> DataFrame:
-    """One aggregation over all columns, then one row per column."""
-    names = list(functions)
-    wide = df.select(*[present(F.col(c)).alias(c) for c in columns]).agg(*[
-        f(F.col(c)).cast("double").alias(f"{i}_{name}")
-        for i, c in enumerate(columns) for name, f in functions.items()
+def _moments(df: DataFrame, columns: Sequence[str], functions: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """The same aggregates for each column, one row per column.
+
+    The columns are laid out as rows first: one wide aggregation would grow with columns times
+    aggregates until it no longer compiles, this one stays the same size.
+    """
+    cells_of = [F.struct(F.lit(c).alias("column"), present(F.col(c)).alias("v")) for c in columns]
+    return df.select(F.inline(F.array(*cells_of))).groupBy("column").agg(*[
+        f(F.col("v")).cast("double").alias(name) for name, f in functions.items()
     ])
-    rows = [F.struct(F.lit(c).alias("column"), *[F.col(f"{i}_{n}").alias(n) for n in names])
-            for i, c in enumerate(columns)]
-    return wide.select(F.inline(F.array(*rows)))
 
 
 def _quartiles(df: DataFrame, columns: Sequence[str], exact: bool, rows_per_bucket: int) -> DataFrame:
@@ -229,21 +229,23 @@ def rank_correlations(
 
 def associations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Cramér's V of each pair of categorical columns, plain and bias-corrected."""
-    pairs = [
-        F.struct(F.lit(a).alias("first"), F.lit(b).alias("second"), F.col(a).alias("a"), F.col(b).alias("b"))
-        for a, b in combinations(columns, 2)
-    ]
-    table = df.select(*_as_text(columns)).select(F.inline(F.array(*pairs)))
+    pairs = list(combinations(columns, 2))
+    cells_of = [F.struct(F.lit(i).alias("pair"), F.col(a).alias("a"), F.col(b).alias("b"))
+                for i, (a, b) in enumerate(pairs)]
+    table = df.select(*_as_text(columns)).select(F.inline(F.array(*cells_of)))
     table = table.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    table = table.groupBy("first", "second", "a", "b").agg(F.count("*").cast("double").alias("n"))
-    row_sums = table.groupBy("first", "second", "a").agg(F.sum("n").alias("row_sum"))
-    column_sums = table.groupBy("first", "second", "b").agg(F.sum("n").alias("column_sum"))
-    shape = row_sums.groupBy("first", "second").agg(
+    # From here on the rows are contingency cells.
+    table = table.groupBy("pair", "a", "b").agg(F.count("*").cast("double").alias("n"))
+    row_sums = table.groupBy("pair", "a").agg(F.sum("n").alias("row_sum"))
+    column_sums = table.groupBy("pair", "b").agg(F.sum("n").alias("column_sum"))
+    shape = row_sums.groupBy("pair").agg(
         F.count("*").cast("double").alias("r"), F.sum("row_sum").alias("total")
-    ).join(column_sums.groupBy("first", "second").agg(F.count("*").cast("double").alias("c")), ["first", "second"])
+    ).join(column_sums.groupBy("pair").agg(F.count("*").cast("double").alias("c")), "pair")
     share = F.col("n") * F.col("n") / (F.col("row_sum") * F.col("column_sum"))
-    joined = table.join(row_sums, ["first", "second", "a"]).join(column_sums, ["first", "second", "b"])
-    phi = joined.groupBy("first", "second").agg((F.sum(share) - 1.0).alias("phi2")).join(shape, ["first", "second"])
+    joined = table.join(row_sums, ["pair", "a"]).join(column_sums, ["pair", "b"])
+    names = literal_table(df.sparkSession, [(i, a, b) for i, (a, b) in enumerate(pairs)],
+                          "pair int, first string, second string")
+    phi = joined.groupBy("pair").agg((F.sum(share) - 1.0).alias("phi2")).join(shape, "pair").join(names, "pair")
     r, c, n, phi2 = F.col("r"), F.col("c"), F.col("total"), F.greatest(F.col("phi2"), F.lit(0.0))
     bias = F.try_divide((r - 1) * (c - 1), n - 1)
     r_fixed, c_fixed = r - F.try_divide((r - 1) * (r - 1), n - 1), c - F.try_divide((c - 1) * (c - 1), n - 1)

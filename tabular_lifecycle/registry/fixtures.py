@@ -7,11 +7,14 @@ amounts and an uneven label.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.drift import perturb
 from ..plans.prepare import prepare, prepare_training
+from ..runtime import spread, stage
 from ..sources import CENSUS_COLUMNS
 
 KEYS = ["row_key"]
@@ -29,11 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def line_items(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """Some columns of the line items, written once for operators that read them several times."""
+    return stage(spread(table(spark, sf_dir, "lineitem").select(*columns)))
+
+
 def census(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw census rows with ``row_key`` and ``o_orderdate``.
 
-    No join is hinted: Spark broadcasts a side by its size, and a skewed key is split at run time.
-    Orders meet the small tables first, so line items are shuffled only for orders and for parts.
+    Line items and orders both grow with the data, so that join is always a sort-merge join, whose
+    skewed keys Spark splits at run time. The other tables are broadcast only if Spark finds them
+    small enough. Orders meet them first, so line items are shuffled only for orders and for parts.
     """
     orders = (
         table(spark, sf_dir, "orders")
@@ -43,7 +52,7 @@ def census(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = (
         table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     line = F.col("l_linenumber")

@@ -108,7 +108,7 @@ SELECT "column", stat, round("value", 4) AS "value" FROM (
 @query("d9_table_summary", _SUMMARY_SQL)
 def table_summary(spark, sf_dir):
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
-    rows = profile.summarize(fx.table(spark, sf_dir, "lineitem").select(*columns))
+    rows = profile.summarize(fx.line_items(spark, sf_dir, columns))
     return rows.withColumn("value", rounded(F.col("value"), 4))
 
 
@@ -192,7 +192,7 @@ _RANKED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     f"""SELECT '{a}' AS "first", '{b}' AS "second", round(corr(r_{a}, r_{b}), 6) AS correlation FROM ranks"""
     for i, a in enumerate(_RANKED) for b in _RANKED[i + 1:]))
 def rank_correlation(spark, sf_dir):
-    rows = profile.rank_correlations(fx.table(spark, sf_dir, "lineitem"), _RANKED)
+    rows = profile.rank_correlations(fx.line_items(spark, sf_dir, _RANKED), _RANKED)
     return rows.withColumn("correlation", rounded(F.col("correlation")))
 
 

@@ -44,6 +44,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan over the cores when it has fewer splits than there are cores.
+
+    A small file can be a single split, and a chain of broadcast joins on it stays a single task. A
+    large table has many splits and is left as it is, so nothing is shuffled there.
+    """
+    cores = session_of(scan).sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once and read it back.
 
