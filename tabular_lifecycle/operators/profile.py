@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..runtime import literal_table
 from .ordered import ROWS_PER_BUCKET, distinct_ranks, exact_quantiles, measure, present
@@ -20,9 +22,21 @@ def _as_text(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).cast("string").alias(c) for c in columns]
 
 
-def cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(``column``, ``value``) with values as text, all columns in one scan."""
-    return df.select(*_as_text(columns)).unpivot([], list(columns), "column", "value")
+def cells(df: DataFrame, columns: Sequence[str], kind: str = "string") -> DataFrame:
+    """(``column``, ``value``) with values of one type, text by default, all columns in one scan."""
+    return df.select(*[F.col(c).cast(kind).alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+
+
+def _by_kind(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Columns by the type that holds their values exactly; numbers need not become text."""
+    kinds: dict[str, list[str]] = {}
+    for field in df.select(*columns).schema.fields:
+        whole = isinstance(field.dataType, T.IntegralType)
+        kind = "bigint" if whole else "double" if isinstance(field.dataType, T.FractionalType) else "string"
+        if isinstance(field.dataType, T.DecimalType):
+            kind = "string"
+        kinds.setdefault(kind, []).append(field.name)
+    return kinds
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
@@ -30,20 +44,23 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -
 
     The exact form counts equal values together before the shuffle; the other one merges sketches.
     """
+    parts = [_distinct_counts(cells(df, names, kind), exact) for kind, names in _by_kind(df, columns).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _distinct_counts(rows: DataFrame, exact: bool) -> DataFrame:
     held = F.col("value").isNotNull()
     if not exact:
-        return cells(df, columns).groupBy("column").agg(
+        return rows.groupBy("column").agg(
             F.count("*").alias("count"), F.count_if(~held).alias("missing"),
             F.approx_count_distinct("value").alias("distinct"),
         )
-    values = cells(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
-    # A second grouping step keeps the values of one column from meeting in one task.
-    part = F.pmod(F.xxhash64("value"), F.lit(1024)).alias("part")
-    parts = values.groupBy("column", part).agg(
+    values = rows.groupBy("column", "value").agg(F.count("*").alias("n"))
+    # Partial sums are formed where the values are, so one column does not meet in one task.
+    return values.groupBy("column").agg(
         F.sum("n").alias("count"), F.sum(F.when(held, 0).otherwise(F.col("n"))).alias("missing"),
         F.count("value").alias("distinct"),
     )
-    return parts.groupBy("column").agg(*[F.sum(x).alias(x) for x in ("count", "missing", "distinct")])
 
 
 def overview(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:

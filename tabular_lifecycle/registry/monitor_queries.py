@@ -17,14 +17,16 @@ from .model_queries import INPUTS, _rule_metrics, rounded_metrics, split_trainin
 _COLUMNS = drift.DRIFT_COLUMNS
 
 
-def _baseline(spark, sf_dir):
-    return drift.drift_report(_stored(fx.training, spark, sf_dir), _stored(fx.inference, spark, sf_dir),
-                              fx.INFERENCE, "2000-01-01")
+def _baseline(spark, sf_dir, clean=None):
+    clean = clean or _stored(fx.training, spark, sf_dir)
+    return drift.drift_report(clean, _stored(fx.inference, spark, sf_dir), fx.INFERENCE, "2000-01-01")
 
 
-def _modified(spark, sf_dir):
-    return drift.drift_report(_stored(fx.training, spark, sf_dir), _stored(fx.modified, spark, sf_dir),
-                              fx.MODIFIED, "2010-01-01")
+def _history(spark, sf_dir):
+    """Baseline and perturbed reports against the same training rows."""
+    clean = _stored(fx.training, spark, sf_dir)
+    changed = drift.drift_report(clean, _stored(fx.modified, spark, sf_dir), fx.MODIFIED, "2010-01-01")
+    return drift.drift_history(_baseline(spark, sf_dir, clean), changed)
 
 
 def _stored(part, spark, sf_dir):
@@ -76,7 +78,7 @@ def perturbed_data(spark, sf_dir):
 
 @query("k4_drift_history", fx.with_ctes(f"SELECT {_plain_sql(_ROWS)} FROM history", "history"))
 def drift_history(spark, sf_dir):
-    return _plain(drift.drift_history(_baseline(spark, sf_dir), _modified(spark, sf_dir)))
+    return _plain(_history(spark, sf_dir))
 
 
 @query("k5_metric_drift")
@@ -129,8 +131,7 @@ def chart_auc_by_year(spark, sf_dir):
 SELECT "column" AS feature, {_plain_sql('statistic, pvalue, passed')} FROM history WHERE "date" = '2010-01-01'""",
                                           "history"))
 def numerical_drift(spark, sf_dir):
-    history = drift.drift_history(_baseline(spark, sf_dir), _modified(spark, sf_dir))
-    return monitor.numerical_drift(history).withColumns({
+    return monitor.numerical_drift(_history(spark, sf_dir)).withColumns({
         c: rounded(F.col(c).cast("double"), 5) for c in ("statistic", "pvalue")
     })
 
@@ -138,7 +139,7 @@ def numerical_drift(spark, sf_dir):
 @query("l3_total_failures", fx.with_ctes(
     'SELECT CAST(sum(CASE WHEN passed = 0 THEN 1 ELSE 0 END) AS BIGINT) AS "TOTAL_FAILURES" FROM history', "history"))
 def total_failures(spark, sf_dir):
-    return monitor.total_failures(drift.drift_history(_baseline(spark, sf_dir), _modified(spark, sf_dir)))
+    return monitor.total_failures(_history(spark, sf_dir))
 
 
 def _means_sql(source: str, year: str) -> str:
