@@ -27,7 +27,7 @@ def work(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("census")
     (folder / "train.csv").write_text("\n".join([*census_lines(900, 1, ""), "44, Private"]))
     (folder / "test.csv").write_text("\n".join(census_lines(500, 2, ".")))
-    name = f"workshop_{uuid.uuid4().hex[:8]}"
+    name = f"census_{uuid.uuid4().hex[:8]}"
     work = lifecycle.Workspace(spark, name)
     work.reset(fresh_path(spark, name))
     lifecycle.ingest(work, str(folder / "train.csv"), str(folder / "test.csv"))
