@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, pii, quality_rules, secret_scan, sharding
+from . import bpe, line_dedup, lm_score, mixing, ngram_join, pii, quality_rules, secret_scan, sharding, topk_search
 from .common import hex_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,54 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 def op10(spark, sf_dir):
     judged = quality_rules.cascade(table(spark, sf_dir, "documents"), keep_counts=True)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op2_ngram_jaccard", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)
+      UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM w WHERE len(w) BETWEEN 1 AND 2),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n na ON p.a = na.doc_id JOIN n nb ON p.b = nb.doc_id WHERE 100 * i >= 90 * (na.n + nb.n - i)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.low, w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON w.doc_id = m.a""")
+def op2(spark, sf_dir):
+    linked = ngram_join.link_classes(table(spark, sf_dir, "documents"), width=3, above=90, of=100)
+    return linked.withColumnRenamed("d", "doc_id")
+
+
+@query("op4_bpe")
+def op4(spark, sf_dir):
+    vocabulary = bpe.read_vocabulary(bpe.vocabulary_path())
+    tokens = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    back = bpe.decode(tokens, vocabulary, digest="ids_sha256")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", hex_of(F.col("text")).alias("decoded_sha256"))
+
+
+@query("op3_top_k", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5""")
+def op3(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+@query("op7_source_mix")
+def op7(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"))
+
+
+@query("op8_lm_score")
+def op8(spark, sf_dir):
+    held_out = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")) % 7 == 2
+    return lm_score.score(table(spark, sf_dir, "documents"), held_out)
