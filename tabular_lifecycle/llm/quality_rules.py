@@ -73,9 +73,11 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def _split(docs: DataFrame, text: str) -> tuple[DataFrame, dict[str, Column]]:
-    value, w = F.coalesce(F.col(text), F.lit("")), fresh(docs, "_words")
-    return docs.withColumn(w, words(value)), _counts(value, F.col(w))
+def _judge(text: str, body: Callable[[dict[str, Column]], Column]) -> Column:
+    """``body`` of the counts of a text. Its words are split once, bound inside the one expression: as a column of
+    their own they would be split again wherever Spark moves a filter below that column."""
+    value = F.coalesce(F.col(text), F.lit(""))
+    return let(words(value), lambda w: body(_counts(value, w)))
 
 
 def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text", sample_rows: int = 2000,
@@ -86,10 +88,9 @@ def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text", sample_r
     The order decides the work only, never the verdict, so clocks that differ between runs do not change results.
     """
     sample = stage(docs.select(F.col(text)).orderBy(F.xxhash64(text), text).limit(sample_rows), "sample")
-    split, counts = _split(sample, text)
 
     def rejection_per_second(rule: Rule) -> float:
-        frame, best, hits = split.agg(F.count_if(rule.fails(counts)).alias("n")), float("inf"), 0
+        frame, best, hits = sample.agg(F.count_if(_judge(text, rule.fails)).alias("n")), float("inf"), 0
         for _ in range(rounds):
             start = time.perf_counter()
             hits = frame.first().n
@@ -113,17 +114,22 @@ def cascade(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text"
     rules = default_rules() if rules is None else rules
     added = ("failed_rule", "kept") + ((*COUNTS, "base_failed") if keep_counts else ())
     plain = docs.drop(*added)
-    split, counts = _split(plain, text)
-    if keep_counts:
-        split = split.withColumns(counts)
-        counts = {name: F.col(name) for name in COUNTS}
-    failed = F.lit(None).cast("string")
-    for rule in reversed(order_rules(docs, rules, text, sample_rows)):
-        failed = F.when(rule.fails(counts), F.lit(rule.name)).otherwise(failed)
-    out = split.withColumn("failed_rule", failed).withColumn("kept", F.col("failed_rule").isNull())
-    if keep_counts:
-        base = F.lit(False)
-        for rule in rules:
-            base = base | F.coalesce(rule.fails(counts), F.lit(False)) if rule.base else base
-        out = out.withColumn("base_failed", base)
-    return out.select(*plain.columns, *added)
+    ordered = order_rules(docs, rules, text, sample_rows)
+
+    def verdict(counts: dict[str, Column]) -> Column:
+        failed = F.lit(None).cast("string")
+        for rule in reversed(ordered):
+            failed = F.when(rule.fails(counts), F.lit(rule.name)).otherwise(failed)
+        return failed
+
+    if not keep_counts:
+        judged = plain.withColumn("failed_rule", _judge(text, verdict))
+        return judged.withColumn("kept", F.col("failed_rule").isNull())
+    held = fresh(plain, "_counts")
+    judged = plain.withColumn(held, _judge(text, lambda counts: F.struct(*[c.alias(name) for name, c in counts.items()])))
+    counts = {name: F.col(held)[name] for name in COUNTS}
+    base = F.lit(False)
+    for rule in rules:
+        base = base | F.coalesce(rule.fails(counts), F.lit(False)) if rule.base else base
+    judged = judged.withColumns({"failed_rule": verdict(counts), "base_failed": base, **counts})
+    return judged.withColumn("kept", F.col("failed_rule").isNull()).select(*plain.columns, *added)
