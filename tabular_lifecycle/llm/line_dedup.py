@@ -22,8 +22,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, text: s
     rows: one document, each of them is rewritten. Empty table: empty result. Existing columns named ``n_lines`` or
     ``n_dropped`` are replaced.
     """
-    lines_, at = fresh(docs, "_lines"), fresh(docs, "_print")
     base = docs.drop("n_lines", "n_dropped")
+    lines_, at, gone, d, p = (fresh(base, name) for name in ("_lines", "_print", "_gone", "_of", "_as"))
     keyed = (base.where(F.length(text) >= min_chars)
              .select(F.col(doc_id).alias("d"), F.xxhash64(text).alias("p"),
                      F.posexplode(F.split(text, "\n", -1)).alias("at", "line"))
@@ -34,13 +34,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, text: s
               .groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("d").alias("keeper"))
               .where(F.col("n") >= min_docs).drop("n"))
     lost = (keyed.join(spread, ["h1", "h2"]).where(~F.col("d").eqNullSafe(F.col("keeper")))
-            .groupBy("d", "p").agg(F.collect_set("at").alias("gone")))
+            .groupBy(F.col("d").alias(d), F.col("p").alias(p)).agg(F.collect_set("at").alias(gone)))
     whole = base.select("*", F.split(F.coalesce(text, F.lit("")), "\n", -1).alias(lines_), F.xxhash64(text).alias(at))
-    joined = whole.join(lost, whole[doc_id].eqNullSafe(lost.d) & (whole[at] == lost.p), "left")
+    joined = whole.join(lost, whole[doc_id].eqNullSafe(lost[d]) & (whole[at] == lost[p]), "left")
     kept = F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines_) - 1), "gone"), lambda i: F.get(F.col(lines_), i)), "\n")
+        F.array_except(F.sequence(F.lit(0), F.size(lines_) - 1), gone), lambda i: F.get(F.col(lines_), i)), "\n")
     return joined.select(
-        *[F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else whole[c]
+        *[F.when(F.col(gone).isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else whole[c]
           for c in base.columns],
         F.size(lines_).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"))

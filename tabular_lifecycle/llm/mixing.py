@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import stage
-from .common import SPACE_CLASS, fresh
+from .common import SPACE_CLASS
 
 
 def source_targets(sizes: DataFrame, weights: list[int], max_passes: int = 3) -> DataFrame:
@@ -100,7 +100,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_passes: int =
         raise ValueError("a kept column has the name of a result column")
     value = F.coalesce(F.col(text), F.lit(""))
     sized = docs.select(
-        F.col(doc_id).alias(doc_id), F.col(source).alias("source"), *[F.col(c) for c in keep],
+        F.col(doc_id).alias("_id"), F.col(source).alias("source"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
         F.regexp_count(value, F.lit(f"[^{SPACE_CLASS}]+")).cast("long").alias("size"),
         F.xxhash64(F.lit(seed), F.col(doc_id), value).alias("_h"))
     sized = stage(sized, "sized")
@@ -133,6 +133,6 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_passes: int =
     split = F.expr("_quota > 0 AND _quota < _cn")
     whole = placed.where(~split).withColumn("_more", (F.col("_quota") > 0).cast("int"))
     part = placed.where(split).withColumn(
-        "_more", (F.expr(f"row_number() OVER (PARTITION BY source, size, _b ORDER BY _h, {doc_id})") <= F.col("_quota")).cast("int"))
-    return whole.unionByName(part).select(doc_id, *keep, "source", "size", "source_size", "target",
+        "_more", (F.expr("row_number() OVER (PARTITION BY source, size, _b ORDER BY _h, _id)") <= F.col("_quota")).cast("int"))
+    return whole.unionByName(part).select(F.col("_id").alias(doc_id), *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "source", "size", "source_size", "target",
                                           (F.col("passes") + F.col("_more")).alias("passes"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import stage
 from .blocks import Vocabulary, lower_words, mix, table_blocks, word_hashes
-from .common import components
+from .common import components, fresh
 
 _GROWTH = 1.6
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -249,6 +249,6 @@ def keep_one(docs: DataFrame, width: int = 5, above: int = 80, of: int = 100, te
              doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the documents linked, directly or by others, to one of a smaller id; of repeated rows all stay
     or go together. Null ids and blank texts stay."""
-    lost = (link_classes(docs, width, above, of, text, doc_id).where("n_shingles > 0 AND d > component_id")
-            .select(F.col("d").alias("_lost")).distinct())
-    return docs.join(lost, docs[doc_id] == F.col("_lost"), "left_anti")
+    lost = fresh(docs, "_lost")
+    linked = link_classes(docs, width, above, of, text, doc_id).where("n_shingles > 0 AND d > component_id")
+    return docs.join(linked.select(F.col("d").alias(lost)).distinct(), docs[doc_id] == F.col(lost), "left_anti")

@@ -181,7 +181,8 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text", doc_id: str = "do
     are. Null ids are an id of their own; repeated rows are rewritten alike; an empty table gives an empty
     result; an existing column ``n_entities`` is replaced.
     """
-    plain, found, at = docs.drop("n_entities"), fresh(docs, "_found"), fresh(docs, "_print")
+    plain = docs.drop("n_entities")
+    at, d, p, news_ = (fresh(plain, name) for name in ("_print", "_of", "_as", "_news"))
     hinted = F.when(F.col(text).rlike(_HINT), F.regexp_extract_all(text, F.lit(ANY), 0))
     mentions = (plain.select(F.col(doc_id).alias("d"), F.xxhash64(text).alias("p"), F.posexplode(hinted).alias("at", "mention"))
                 .withColumn("kind", kind_of(F.col("mention")))
@@ -190,11 +191,11 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text", doc_id: str = "do
     mapping = surrogates(mentions.select("kind", "canon"), key)
     news = (mentions.join(mapping, ["kind", "canon"])
             .withColumn("new", _written(F.col("kind"), F.col("mention"), F.col("surrogate")))
-            .groupBy("d", "p").agg(F.sort_array(F.collect_set(F.struct("at", "new"))).alias("news")))
+            .groupBy(F.col("d").alias(d), F.col("p").alias(p)).agg(F.sort_array(F.collect_set(F.struct("at", "new"))).alias(news_)))
     joined = plain.withColumn(at, F.xxhash64(text)).join(
-        news, plain[doc_id].eqNullSafe(F.col("d")) & (F.col(at) == F.col("p")), "left")
-    rebuilt = F.array_join(F.zip_with(F.split(text, ANY, -1), F.transform("news", lambda x: x["new"]),
+        news, plain[doc_id].eqNullSafe(F.col(d)) & (F.col(at) == F.col(p)), "left")
+    rebuilt = F.array_join(F.zip_with(F.split(text, ANY, -1), F.transform(news_, lambda x: x["new"]),
                                       lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
     return joined.select(
-        *[F.when(F.col("news").isNull(), F.col(text)).otherwise(rebuilt).alias(text) if c == text else plain[c] for c in plain.columns],
-        F.coalesce(F.size("news"), F.lit(0)).cast("long").alias("n_entities"))
+        *[F.when(F.col(news_).isNull(), F.col(text)).otherwise(rebuilt).alias(text) if c == text else plain[c] for c in plain.columns],
+        F.coalesce(F.size(news_), F.lit(0)).cast("long").alias("n_entities"))
