@@ -8,15 +8,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import to_number
 
-# One-hot columns are for low-cardinality categories; a column over this is refused, not cut.
-MAX_CATEGORIES = 1_000
-
 
 def coerce_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Numbers as doubles; text that is no number becomes missing."""
@@ -42,24 +39,25 @@ def fill_means(df: DataFrame, means: Mapping[str, float]) -> DataFrame:
 
 
 def fit_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Training values of each column, sorted; all columns in one scan."""
+    """Training values of each column, sorted; all columns in one scan. The labels are part of the model, so the
+    distinct values (not the rows) pass through the driver."""
     values = train.select(*columns).unpivot([], list(columns), "column", "value")
-    distinct = values.filter(F.col("value").isNotNull()).distinct()
-    limit = MAX_CATEGORIES * len(columns)
-    rows = distinct.limit(limit + 1).collect()
-    found: dict[str, list[str]] = {c: sorted(r["value"] for r in rows if r["column"] == c) for c in columns}
-    wide = [c for c in columns if len(found[c]) > MAX_CATEGORIES]
-    if wide or len(rows) > limit:
-        raise ValueError(f"too many categories for one-hot columns: {wide or columns}")
-    return found
+    rows = values.filter(F.col("value").isNotNull()).distinct().collect()
+    return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in columns}
 
 
 def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]]) -> DataFrame:
-    """One 0/1 column ``<column>_<value>`` per training value; unseen values and NULL are all zeros."""
-    ones = {
-        f"{c}_{v}": F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0))
-        for c, values in categories.items() for v in values
-    }
+    """One 0/1 column ``<column>_<value>`` per training value; unseen values and NULL are all zeros.
+
+    Where two such names meet (columns ``a`` and ``a_b``), the later one has a number added.
+    """
+    ones: dict[str, Column] = {}
+    for c, values in categories.items():
+        for v in values:
+            name, n = f"{c}_{v}", 2
+            while name in ones:
+                name, n = f"{c}_{v}_{n}", n + 1
+            ones[name] = F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0))
     return df.withColumns(ones)
 
 
@@ -74,30 +72,52 @@ def standardize(df: DataFrame, scales: Mapping[str, tuple[float, float]]) -> Dat
     return df.withColumns({c: (F.col(c) - F.lit(mean)) / F.lit(std) for c, (mean, std) in scales.items()})
 
 
-def encoding_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """Imputer, indexers, one-hot vectors and their composition into ``assembled``.
+def _hot_stages(train: DataFrame, categorical: Sequence[str]) -> tuple[list, list[str]]:
+    """Indexers and one-hot vectors, and the vectors' names.
 
-    The categories are found, and their number checked, in one scan for all columns. With unseen
-    values kept as the last index and that index dropped, each training value has one column, and
-    unseen values and NULL have none.
+    Spark ML knows no empty label, so a blank category is written under a label that no value has. With unseen
+    values kept as the last index and that index dropped, each training value has one column, and unseen
+    values and NULL have none. All vectors are sparse.
     """
-    filled = [f"{c}_filled" for c in numeric]
-    indexed = [f"{c}_index" for c in categorical]
+    if not categorical:
+        return [], []
+    categories, texts, indexers = fit_categories(train, categorical), [], []
+    for c in categorical:
+        blank = "(blank)"
+        while blank in categories[c]:
+            blank = f"({blank})"
+        texts.append(f"CASE WHEN `{c}` = '' THEN '{blank}' ELSE `{c}` END AS `{c}_text`")
+        indexers.append(StringIndexerModel.from_labels(
+            [v or blank for v in categories[c]], inputCol=f"{c}_text", outputCol=f"{c}_index", handleInvalid="keep"))
     hot = [f"{c}_hot" for c in categorical]
-    categories = fit_categories(train, categorical)
-    return [
-        Imputer(strategy="mean", inputCols=list(numeric), outputCols=filled),
-        *[
-            StringIndexerModel.from_labels(categories[c], inputCol=c, outputCol=i, handleInvalid="keep")
-            for c, i in zip(categorical, indexed)
-        ],
-        OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
-        VectorAssembler(inputCols=[*filled, *hot], outputCol="assembled"),
-    ]
+    named = SQLTransformer(statement=f"SELECT *, {', '.join(texts)} FROM __THIS__")
+    encoder = OneHotEncoder(inputCols=[f"{c}_index" for c in categorical], outputCols=hot, dropLast=True)
+    return [named, *indexers, encoder], hot
+
+
+def _filled_stages(numeric: Sequence[str]) -> tuple[list, list[str]]:
+    filled = [f"{c}_filled" for c in numeric]
+    return ([Imputer(strategy="mean", inputCols=list(numeric), outputCols=filled)] if numeric else []), filled
+
+
+def encoding_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
+    """Imputer, indexers, one-hot vectors and their composition into ``assembled``."""
+    (imputing, filled), (encoding, hot) = _filled_stages(numeric), _hot_stages(train, categorical)
+    return [*imputing, *encoding, VectorAssembler(inputCols=[*filled, *hot], outputCol="assembled")]
 
 
 def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
-    """All feature stages, centred and scaled into ``features``."""
-    scaler = StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True)
+    """All feature stages, scaled into ``features``.
+
+    Numbers are centred and scaled; one-hot columns are scaled only, since a shift of every column would fill
+    the sparse vectors, and moves no split of a tree and only the intercept of a linear model.
+    """
     rows = train.select(*numeric, *categorical)
-    return Pipeline(stages=[*encoding_stages(rows, numeric, categorical), scaler]).fit(rows)
+    (imputing, filled), (encoding, hot) = _filled_stages(numeric), _hot_stages(rows, categorical)
+    stages, parts = [*imputing, *encoding], []
+    for columns, name, centred in ((filled, "numbers", True), (hot, "categories", False)):
+        if columns:
+            stages += [VectorAssembler(inputCols=columns, outputCol=name),
+                       StandardScaler(inputCol=name, outputCol=f"{name}_scaled", withMean=centred, withStd=True)]
+            parts.append(f"{name}_scaled")
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=parts, outputCol="features")]).fit(rows)

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from ..runtime import literal_table, settle
 
 ROWS_PER_BUCKET = 5_000_000
+# Small columns are cut as well, so that every size runs the same plan.
+_LEAST_CUTS = 16
 _MAX_CUTS = 1024
 _SKETCH_K = 1000
 # Partial sketches are merged in groups of tasks before the last merge.
@@ -38,10 +40,6 @@ class Ladder:
     borders: Mapping[str, Sequence[float]] = field(default_factory=dict)
     steps: int = 1
 
-    @property
-    def single(self) -> bool:
-        return not self.borders
-
 
 def present(value: Column) -> Column:
     """The value as a double, NULL for NaN."""
@@ -81,9 +79,9 @@ def measure(
     for i, c in enumerate(columns):
         sizes[c] = {name: int(row[f"n_{i}_{name}"] or 0) for name in conditions}
         largest = max(largest, sizes[c]["all"])
-    wanted = math.ceil(largest / rows_per_bucket)
+    wanted = max(_LEAST_CUTS, math.ceil(largest / rows_per_bucket))
     filled = [(i, c) for i, c in enumerate(columns) if sizes[c]["all"]]
-    if wanted > 1 and filled:
+    if filled:
         parts = min(wanted, _MAX_CUTS)
         ranks = F.expr("array(" + ", ".join(f"{k / parts!r}D" for k in range(1, parts)) + ")")
         sketches = literal_table(
@@ -158,13 +156,9 @@ def distinct_ranks(df: DataFrame, ladder: Ladder) -> DataFrame:
     values = long_form(df, ladder).groupBy("column", "bucket", "v").agg(F.count("*").alias("n"))
     lower = F.coalesce(F.sum("n").over(before(["column", "bucket"], "v")), F.lit(0))
     ranked = values.withColumn("lower", lower)
-    if ladder.single:
-        start = F.lit(0)
-    else:
-        per_bucket = settle(values.groupBy("column", "bucket").agg(F.sum("n").alias("held")), "buckets")
-        ranked = ranked.join(offsets(per_bucket, ["column"], {"start": "held"}), ["column", "bucket"])
-        start = F.col("start")
-    return ranked.select("column", "v", "n", (start + F.col("lower") + (F.col("n") + 1) / 2).alias("rank"))
+    per_bucket = settle(values.groupBy("column", "bucket").agg(F.sum("n").alias("held")), "buckets")
+    ranked = ranked.join(offsets(per_bucket, ["column"], {"start": "held"}), ["column", "bucket"])
+    return ranked.select("column", "v", "n", (F.col("start") + F.col("lower") + (F.col("n") + 1) / 2).alias("rank"))
 
 
 def exact_quantiles(
@@ -191,14 +185,11 @@ def exact_quantiles(
     schema = "column string, probability double, side string, rank bigint, share double"
     targets = literal_table(spark, wanted, schema)
     rows = long_form(df, ladder)
-    if ladder.single:
-        targets = targets.withColumns({"bucket": F.lit(0), "start": F.lit(0).cast("bigint")})
-    else:
-        per_bucket = rows.groupBy("column", "bucket").agg(F.count("*").alias("held"))
-        steps = offsets(settle(per_bucket, "buckets"), ["column"], {"start": "held"})
-        inside = (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("held"))
-        targets = settle(targets.join(steps, "column").filter(inside).drop("held"))
-        rows = rows.join(targets.select("column", "bucket").distinct(), ["column", "bucket"], "left_semi")
+    per_bucket = rows.groupBy("column", "bucket").agg(F.count("*").alias("held"))
+    steps = offsets(settle(per_bucket, "buckets"), ["column"], {"start": "held"})
+    inside = (F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("held"))
+    targets = settle(targets.join(steps, "column").filter(inside).drop("held"))
+    rows = rows.join(targets.select("column", "bucket").distinct(), ["column", "bucket"], "left_semi")
     values = rows.groupBy("column", "bucket", "v").agg(F.count("*").alias("n"))
     lower = F.coalesce(F.sum("n").over(before(["column", "bucket"], "v")), F.lit(0))
     local = F.col("rank") - F.col("start")

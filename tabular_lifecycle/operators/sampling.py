@@ -18,11 +18,8 @@ from .ordered import before
 
 _HEX_DIGITS = 32
 _FIRST_DIGITS = 3
-# A bucket of the first digits that holds more rows than this is cut by six digits first.
-_DENSE_BUCKET = 2_000_000
 # Equal rows are written out in runs of this many.
 _RUN = 100_000
-_TOP_K_ROWS = 10_000
 
 Quota = Callable[[Column, Column], Column]
 
@@ -56,7 +53,7 @@ def _reach(counts: DataFrame) -> DataFrame:
 def _find_cuts(df: DataFrame, quota: Quota) -> DataFrame:
     """(``class``, ``cut``, ``surplus``): rows with hash <= cut are taken; of those equal to the cut,
     ``surplus`` are too many. A quota of zero gives an empty cut, which no hash reaches."""
-    counts = settle(_cut_level(df, _FIRST_DIGITS), "hash-counts", max_rows=200_000)
+    counts = settle(_cut_level(df, _FIRST_DIGITS), "hash-counts")
     totals = settle(counts.groupBy("class").agg(F.sum("held").alias("total")), "classes")
     least = totals.agg(F.min("total")).first()[0] or 0
     quotas = totals.select(F.col("class").alias("of"),
@@ -64,11 +61,8 @@ def _find_cuts(df: DataFrame, quota: Quota) -> DataFrame:
     counts = counts.join(quotas, counts["class"].eqNullSafe(quotas["of"])).withColumn(
         "quota", F.least(F.col("wanted"), F.sum("held").over(Window.partitionBy("class")))
     ).drop("of", "wanted")
-    level, digits = _reach(counts), _FIRST_DIGITS
-    densest = level.agg(F.max("held")).first()[0] or 0
-    if densest > _DENSE_BUCKET:
-        level, digits = _reach(_cut_level(df, 2 * digits, level, digits)), 2 * digits
-    exact = _reach(_cut_level(df, _HEX_DIGITS, level, digits))
+    level = _reach(_cut_level(df, 2 * _FIRST_DIGITS, _reach(counts), _FIRST_DIGITS))
+    exact = _reach(_cut_level(df, _HEX_DIGITS, level, 2 * _FIRST_DIGITS))
     cuts = exact.select(
         "class", F.col("prefix").alias("cut"),
         (F.col("below") + F.col("held") - F.col("quota")).alias("surplus"),
@@ -129,16 +123,11 @@ def stratified_split(
 
 
 def undersample(df: DataFrame, label: str, keys: Sequence[str], seed: int) -> DataFrame:
-    """Cut every class to the size of the smallest one, without replacement."""
+    """Cut every class to the size of the smallest one, without replacement. A NULL label is no class; its rows go."""
+    df = df.filter(F.col(label).isNotNull())
     return _take(df, F.col(label), keys, seed, lambda _, least: least).filter("__taken").select(*df.columns)
 
 
 def fixed_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int) -> DataFrame:
-    """Exactly ``n`` rows, or all of them when there are fewer.
-
-    A small sample is a top-k, which keeps at most n rows per task; a large one uses the hash cut.
-    """
-    if n <= _TOP_K_ROWS:
-        ordered = df.withColumn("__hash", hash_order(keys, seed))
-        return ordered.orderBy("__hash", *df.columns).limit(n).drop("__hash")
+    """Exactly ``n`` rows, or all of them when there are fewer."""
     return _take(df, F.lit("all"), keys, seed, lambda total, _: F.lit(n)).filter("__taken").select(*df.columns)

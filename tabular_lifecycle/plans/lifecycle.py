@@ -15,7 +15,6 @@ from ..operators import drift, models
 from ..operators.evaluate import metric_table
 from ..operators.runs import refine_runs
 from ..operators.sampling import stratified_split
-from ..runtime import fresh_path
 from ..sources import read_csv
 from . import monitor
 from .prepare import CATEGORICAL_INPUTS, LABEL, NUMERIC_INPUTS, POSITIVE, prepare, prepare_training
@@ -56,10 +55,9 @@ class Workspace:
         sinks.create_database(self.spark, self.database, location)
 
     def publish(self, df: DataFrame, table: str) -> DataFrame:
-        """Write ``df`` to a path of its own and register the files under the table's name."""
-        path = sinks.overwrite_path(df, fresh_path(self.spark, table), self.format)
-        sinks.drop_table(self.spark, self.name(table))
-        return sinks.create_external_table(self.spark, self.name(table), path, self.format)
+        """Write ``df`` as a table under the database's own location, which lasts when scratch files are cleared."""
+        sinks.overwrite_table(df, self.name(table), self.format)
+        return self.table(table)
 
 
 def ingest(work: Workspace, training_csv: str, inference_csv: str) -> None:
@@ -70,8 +68,7 @@ def ingest(work: Workspace, training_csv: str, inference_csv: str) -> None:
 
 
 def _inputs(work: Workspace, rows: DataFrame) -> models.Inputs:
-    keys = [k for k in work.keys_of(rows) if k not in (LABEL, *NUMERIC_INPUTS, *CATEGORICAL_INPUTS)]
-    return models.Inputs(NUMERIC_INPUTS, CATEGORICAL_INPUTS, LABEL, POSITIVE, keys)
+    return models.Inputs(NUMERIC_INPUTS, CATEGORICAL_INPUTS, LABEL, POSITIVE, work.keys_of(rows))
 
 
 def split_clean(work: Workspace) -> tuple[DataFrame, DataFrame]:

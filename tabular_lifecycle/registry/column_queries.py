@@ -86,10 +86,10 @@ def literal_tag(spark, sf_dir):
 
 @query("b10_rename", fx.with_ctes("""
 SELECT run_id, val_accuracy_score AS accuracy_score, val_f1_score AS f1_score, val_log_loss AS log_loss,
-       val_roc_auc_score AS roc_auc_score FROM runs""", "runs"))
+       val_precision_score AS precision_score, val_recall_score AS recall_score, val_roc_auc_score AS roc_auc_score FROM runs""", "runs"))
 def rename(spark, sf_dir):
     log = fx.run_log(spark, sf_dir)
-    names = ("accuracy_score", "f1_score", "log_loss", "roc_auc_score")
+    names = ("accuracy_score", "f1_score", "log_loss", "precision_score", "recall_score", "roc_auc_score")
     plain = log.select("run_id", *[F.col("metrics")[f"val_{n}"].alias(n) for n in names])
     return rel.strip_tokens(prefixed(plain, "val_"), ["val_", "test_", "mod_"])
 
@@ -107,14 +107,16 @@ def drop_incomplete(spark, sf_dir):
 
 
 @query("b13_separate_label", fx.with_ctes("""
-SELECT count(*) AS n, 14 AS feature_columns, count(*) FILTER (income = '>50k') AS high FROM prepared""", "prepared"))
+SELECT 'features' AS side, 14 AS columns, count(*) AS n, round(sum(fnlwgt) + sum(hours_per_week) + sum(length(occupation)), 2) AS total
+FROM prepared UNION ALL SELECT 'label', 1, count(*), sum(length(income))::DOUBLE FROM prepared""", "prepared"))
 def separate_label(spark, sf_dir):
     rows = prepare(fx.census(spark, sf_dir)).drop("row_key", "o_orderdate")
     features, label = rel.separate_label(rows, "income")
-    return label.agg(
-        F.count("*").alias("n"), F.lit(len(features.columns)).alias("feature_columns"),
-        F.count_if(F.col("income") == ">50k").alias("high"),
-    )
+    weights = F.sum("fnlwgt") + F.sum("hours_per_week") + F.sum(F.length("occupation"))
+    sides = (("features", features, rounded(weights, 2)), ("label", label, F.sum(F.length("income")).cast("double")))
+    totals = [side.agg(F.lit(name).alias("side"), F.lit(len(side.columns)).alias("columns"), F.count("*").alias("n"),
+                       total.alias("total")) for name, side, total in sides]
+    return totals[0].unionByName(totals[1])
 
 
 @query("c1_clean_category", fx.with_ctes(

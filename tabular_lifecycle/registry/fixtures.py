@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.drift import perturb
 from ..plans.prepare import prepare, prepare_training
-from ..runtime import spread, stage
+from ..runtime import stage
 from ..sources import CENSUS_COLUMNS
 
 KEYS = ["row_key"]
@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def line_items(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
     """Some columns of the line items, written once for operators that read them several times."""
-    return stage(spread(table(spark, sf_dir, "lineitem").select(*columns)))
+    return stage(table(spark, sf_dir, "lineitem").select(*columns))
 
 
 def census(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from ..operators import relational as rel
 from ..plans import monitor
 from ..plans.prepare import CATEGORICAL
 from ..runtime import rounded, stage
+from ..sources import CENSUS_COLUMNS
 from . import fixtures as fx
 from .book import query
 
@@ -51,12 +52,13 @@ def conditional_count(spark, sf_dir):
 
 @query("d5_pivot_sum", fx.with_ctes("""
 SELECT run_id, experiment_id, round(val_accuracy_score, 5) AS val_accuracy_score, round(val_f1_score, 5) AS val_f1_score,
+       round(val_log_loss, 5) AS val_log_loss, round(val_precision_score, 5) AS val_precision_score,
+       round(val_recall_score, 5) AS val_recall_score, round(val_roc_auc_score, 5) AS val_roc_auc_score,
        max_depth, booster FROM refined""", "refined"))
 def pivot_sum(spark, sf_dir):
-    names = ["val_accuracy_score", "val_f1_score", "max_depth", "booster"]
-    entries = runs.numeric_entries(fx.run_log(spark, sf_dir))
-    wide = rel.pivot_sum(entries, ["run_id", "experiment_id"], "key", "value", names)
-    return wide.withColumns({c: rounded(F.col(c), 5) for c in names})
+    entries = stage(runs.numeric_entries(fx.run_log(spark, sf_dir)).select("run_id", "experiment_id", "key", "value"))
+    wide = rel.pivot_sum(entries, ["run_id", "experiment_id"], "key", "value")
+    return wide.withColumns({c: rounded(F.col(c), 5) for c in wide.columns[2:]})
 
 
 @query("d6_chart_by_run", fx.with_ctes("""
@@ -86,18 +88,20 @@ def chart_mean_by_year(spark, sf_dir):
     return monitor.data_drift_charts(drifted).select("year", *[rounded(F.col(c), 4).alias(c) for c in names])
 
 
-_SUMMARY_SQL = """
+_LINE_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+_LINE_TEXTS = ("l_returnflag", "l_linestatus", "l_shipdate")
+_SUMMARY_SQL = f"""
 WITH long AS (
-  UNPIVOT (SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)
-  ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME "column" VALUE v
+  UNPIVOT (SELECT {', '.join(f'{c}::DOUBLE AS {c}' for c in _LINE_NUMBERS)} FROM lineitem)
+  ON {', '.join(_LINE_NUMBERS)} INTO NAME "column" VALUE v
 ), stats AS (
   SELECT "column", count(*)::DOUBLE AS "count", 0::DOUBLE AS missing, count(DISTINCT v)::DOUBLE AS "distinct",
     avg(v) AS mean, stddev_samp(v) AS std, min(v) AS min, quantile_cont(v, 0.25) AS p25,
     quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.75) AS p75, max(v) AS max
   FROM long GROUP BY "column"
 ), texts AS (
-  SELECT 'l_returnflag' AS "column", count(*)::DOUBLE AS "count", 0::DOUBLE AS missing,
-         count(DISTINCT l_returnflag)::DOUBLE AS "distinct" FROM lineitem
+  {' UNION ALL '.join(f"""SELECT '{c}' AS "column", count({c})::DOUBLE AS "count", 0::DOUBLE AS missing,
+         count(DISTINCT {c})::DOUBLE AS "distinct" FROM lineitem""" for c in _LINE_TEXTS)}
 )
 SELECT "column", stat, round("value", 4) AS "value" FROM (
   UNPIVOT stats ON "count", missing, "distinct", mean, std, min, p25, p50, p75, max INTO NAME stat VALUE "value"
@@ -107,8 +111,7 @@ SELECT "column", stat, round("value", 4) AS "value" FROM (
 
 @query("d9_table_summary", _SUMMARY_SQL)
 def table_summary(spark, sf_dir):
-    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
-    rows = profile.summarize(fx.line_items(spark, sf_dir, columns))
+    rows = profile.summarize(fx.line_items(spark, sf_dir, [*_LINE_NUMBERS, *_LINE_TEXTS]))
     return rows.withColumn("value", rounded(F.col("value"), 4))
 
 
@@ -130,9 +133,9 @@ def _overview_sql(columns):
 
 @query("e1_overview", fx.with_ctes(_overview_sql(
     [("age", "int"), ("fnlwgt", "double"), ("education_num", "double"), ("capital_gain", "double"),
-     ("hours_per_week", "double"), *[(c, "string") for c in CATEGORICAL]]), "census"))
+     ("capital_loss", "double"), ("hours_per_week", "double"), *[(c, "string") for c in CATEGORICAL]]), "census"))
 def overview(spark, sf_dir):
-    columns = ["age", "fnlwgt", "education_num", "capital_gain", "hours_per_week", *CATEGORICAL]
+    columns = ["age", "fnlwgt", "education_num", "capital_gain", "capital_loss", "hours_per_week", *CATEGORICAL]
     rows = profile.overview(fx.census(spark, sf_dir), columns)
     return rows.withColumns({c: rounded(F.col(c)) for c in ("missing_share", "distinct_share")})
 
@@ -161,15 +164,16 @@ def histogram(spark, sf_dir):
     return rows.withColumns({c: rounded(F.col(c)) for c in ("low", "high")})
 
 
-@query("e4_frequent_values", fx.with_ctes("""
+_COUNTED = (*CATEGORICAL, "row_key")
+
+
+@query("e4_frequent_values", fx.with_ctes(f"""
 SELECT "column", "value", n, CAST(place AS INTEGER) AS place FROM (
   SELECT "column", "value", count(*) AS n, row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, "value") AS place
-  FROM (UNPIVOT (SELECT workclass, education, occupation, race, native_country, row_key FROM census)
-        ON workclass, education, occupation, race, native_country, row_key INTO NAME "column" VALUE "value")
+  FROM (UNPIVOT (SELECT {', '.join(_COUNTED)} FROM census) ON {', '.join(_COUNTED)} INTO NAME "column" VALUE "value")
   GROUP BY "column", "value") WHERE place <= 5""", "census"))
 def frequent_values(spark, sf_dir):
-    columns = ["workclass", "education", "occupation", "race", "native_country", "row_key"]
-    return profile.frequent_values(fx.census(spark, sf_dir), columns, 5)
+    return profile.frequent_values(fx.census(spark, sf_dir), list(_COUNTED), 5)
 
 
 _PAIRS = [(a, b) for i, a in enumerate(_NUMBERS) for b in _NUMBERS[i + 1:]]
@@ -183,20 +187,17 @@ def correlation(spark, sf_dir):
     return rows.withColumn("correlation", rounded(F.col("correlation")))
 
 
-_RANKED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-
-
-@query("e5_rank_correlation", "WITH ranks AS (SELECT " + ", ".join(
-    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS r_{c}" for c in _RANKED
-) + " FROM lineitem) " + " UNION ALL ".join(
-    f"""SELECT '{a}' AS "first", '{b}' AS "second", round(corr(r_{a}, r_{b}), 6) AS correlation FROM ranks"""
-    for i, a in enumerate(_RANKED) for b in _RANKED[i + 1:]))
+@query("e5_rank_correlation", fx.with_ctes(", whole AS (SELECT " + ", ".join(_NUMBERS) + " FROM census WHERE " + " AND ".join(
+    f"{c} IS NOT NULL" for c in _NUMBERS) + "), ranks AS (SELECT " + ", ".join(
+    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS r_{c}" for c in _NUMBERS
+) + " FROM whole) " + " UNION ALL ".join(
+    f"""SELECT '{a}' AS "first", '{b}' AS "second", round(corr(r_{a}, r_{b}), 6) AS correlation FROM ranks""" for a, b in _PAIRS), "census"))
 def rank_correlation(spark, sf_dir):
-    rows = profile.rank_correlations(fx.line_items(spark, sf_dir, _RANKED), _RANKED)
+    rows = profile.rank_correlations(stage(fx.census(spark, sf_dir).select(*_NUMBERS)), _NUMBERS)
     return rows.withColumn("correlation", rounded(F.col("correlation")))
 
 
-_TIED = ("workclass", "education", "occupation", "relationship", "race", "sex", "native_country", "income")
+_TIED = CATEGORICAL
 _ASSOCIATION_CTES = """, cells AS (
 """ + " UNION ALL ".join(
     f"""SELECT '{a}' AS "first", '{b}' AS "second", {a} AS a, {b} AS b, count(*)::DOUBLE AS n FROM prepared GROUP BY {a}, {b}"""
@@ -223,13 +224,13 @@ def association(spark, sf_dir):
     return rows.withColumns({c: rounded(F.col(c)) for c in ("cramers_v", "cramers_v_corrected")})
 
 
-_DUPLICATE = ("age", "workclass", "education", "occupation", "relationship", "race", "sex", "income")
-
-
 @query("e7_duplicate_rows", fx.with_ctes(f"""
-SELECT {', '.join(_DUPLICATE)}, count(*) AS copies FROM census GROUP BY ALL HAVING count(*) > 1""", "census"))
+, twice AS (SELECT {', '.join(CENSUS_COLUMNS)} FROM census UNION ALL SELECT {', '.join(CENSUS_COLUMNS)} FROM census WHERE age > 60)
+SELECT {', '.join(CENSUS_COLUMNS)}, count(*) AS copies FROM twice GROUP BY ALL HAVING count(*) > 1""", "census"))
 def duplicate_rows(spark, sf_dir):
-    return profile.duplicate_rows(fx.census(spark, sf_dir), _DUPLICATE)
+    """All columns; line items have no equal rows, so those of the old are there twice."""
+    rows = fx.census(spark, sf_dir).select(*CENSUS_COLUMNS)
+    return profile.duplicate_rows(rows.unionByName(rows.where("age > 60")))
 
 
 @query("e8_drop_advice", fx.with_ctes(_ASSOCIATION_CTES + """

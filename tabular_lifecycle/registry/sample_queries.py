@@ -94,13 +94,22 @@ def compose_columns(spark, sf_dir):
     )
 
 
-_SCALED = ("fnlwgt", "hours_per_week", "log_capital_gain", "log_capital_loss")
+_HOT_SQL = {f"{c}_{v}": f"CAST(coalesce({c} = '{v}', false) AS INTEGER)" for c, values in _KNOWN.items() for v in values}
+_ENCODED_SQL = {**{c: c for c in NUMERIC_INPUTS}, **_HOT_SQL}
 
 
-@query("h4_standardize", fx.with_ctes("SELECT row_key, " + ", ".join(
-    f"round(({c} - (SELECT avg({c}) FROM training)) / (SELECT stddev_pop({c}) FROM training), 6) + 0.0 AS {c}"
-    for c in _SCALED) + " FROM inference", "training", "inference"))
+@query("h4_standardize", fx.with_ctes(", stats AS (SELECT " + ", ".join(
+    f"""avg({x}) AS "mean_{i}", coalesce(nullif(stddev_pop({x}), 0), 1) AS "std_{i}\"""" for i, x in enumerate(_ENCODED_SQL.values())) +
+    " FROM training) SELECT row_key, " + ", ".join(
+    f"""round(({x} - "mean_{i}") / "std_{i}", 6) + 0.0 AS "{name}\"""" for i, (name, x) in enumerate(_ENCODED_SQL.items())) +
+    " FROM inference, stats", "training", "inference"))
 def standardize(spark, sf_dir):
-    scales = features.fit_scales(fx.training(spark, sf_dir), _SCALED)
-    scaled = features.standardize(fx.inference(spark, sf_dir).select("row_key", *_SCALED), scales)
-    return scaled.select("row_key", *[rounded(F.col(c)).alias(c) for c in _SCALED])
+    """All encoded features: the numbers and every one-hot column."""
+    train = _inputs(spark, sf_dir)
+    categories = features.fit_categories(train, CATEGORICAL_INPUTS)
+    encoded = features.one_hot(train, categories)
+    names = [*NUMERIC_INPUTS, *[c for c in encoded.columns if c not in train.columns]]
+    scales = features.fit_scales(encoded, names)
+    new = features.one_hot(fx.inference(spark, sf_dir).select("row_key", *NUMERIC_INPUTS, *CATEGORICAL_INPUTS), categories)
+    scaled = features.standardize(new, scales)
+    return scaled.select("row_key", *[rounded(F.col(f"`{c}`")).alias(c) for c in names])

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# A table of at most this many rows may travel through the driver and be broadcast.
-SMALL_TABLE_ROWS = 10_000
-
 
 def session_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
@@ -44,16 +41,6 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a scan over the cores when it has fewer splits than there are cores.
-
-    A small file can be a single split, and a chain of broadcast joins on it stays a single task. A
-    large table has many splits and is left as it is, so nothing is shuffled there.
-    """
-    cores = session_of(scan).sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -66,15 +53,8 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def settle(df: DataFrame, name: str = "settled", max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """Compute ``df`` now, so that joins against it are planned from its true size.
-
-    Up to ``max_rows`` rows become a local relation, which Spark broadcasts by itself. A larger
-    result is written to the shared folder, and Spark picks the join from the size of the files.
-    """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        return session_of(df).createDataFrame(head, schema=df.schema)
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Compute ``df`` now, so that joins against it are planned from the true size of its files."""
     return stage(df, name)
 
 

@@ -7,8 +7,9 @@ class path works the same way.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..runtime import fresh_path, session_of
+from ..runtime import session_of
 
 
 def overwrite_path(df: DataFrame, path: str, format: str = "parquet") -> str:
@@ -43,18 +44,27 @@ def append_table(df: DataFrame, name: str, format: str = "parquet") -> None:
 def merge_append_table(df: DataFrame, name: str, format: str = "parquet") -> None:
     """Append rows whose columns may be new or absent; the missing side is filled with NULL.
 
-    The merged rows are written to a new folder first, and only then does the name point to it, so
-    a failed write leaves the old table as it was.
+    New columns are added to the table's schema, where older rows read as NULL, and only the new rows are written.
     """
     spark = session_of(df)
     if not spark.catalog.tableExists(name):
         overwrite_table(df, name, format)
         return
-    merged = spark.table(name).unionByName(df, allowMissingColumns=True)
-    path = fresh_path(spark, name.replace(".", "-"))
-    merged.write.format(format).save(path)
-    spark.sql(f"DROP TABLE {name}")
-    create_external_table(spark, name, path, format)
+    known = {f.name.lower(): f for f in spark.table(name).schema}
+    new = [f for f in df.schema if f.name.lower() not in known]
+    if new:
+        added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {quoted(*name.split('.'))} ADD COLUMNS ({added})")
+    own = {c.lower() for c in df.columns}
+    filled = df.select(*[
+        F.col(quoted(f.name)) if f.name.lower() in own else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in spark.table(name).schema
+    ])
+    filled.write.format(format).mode("append").saveAsTable(name)
+
+
+def quoted(*parts: str) -> str:
+    return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in parts)
 
 
 def create_external_table(
@@ -65,12 +75,12 @@ def create_external_table(
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(*name.split('.'))}")
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{where}")
 
 
 def use_database(spark: SparkSession, name: str) -> None:
@@ -79,4 +89,4 @@ def use_database(spark: SparkSession, name: str) -> None:
 
 def drop_database(spark: SparkSession, name: str) -> None:
     """Remove the database with all its tables, if it is there."""
-    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    spark.sql(f"DROP DATABASE IF EXISTS {quoted(name)} CASCADE")

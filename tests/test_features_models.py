@@ -35,11 +35,36 @@ def test_one_hot(spark):
     assert [tuple(map(list, r)) for r in hot] == [([1, 0], [0, 1]), ([0, 0], [0, 0])]
 
 
-def test_too_many_categories(spark, monkeypatch):
-    monkeypatch.setattr(features, "MAX_CATEGORIES", 3)
-    train = spark.range(10).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="too many"):
-        features.fit_categories(train, ["c"])
+def test_many_categories_stay_sparse(spark):
+    train = spark.range(3000).select(F.col("id").cast("string").alias("c"), F.lit(1.0).alias("n"))
+    row = features.fit_features(train, ["n"], ["c"]).transform(train).first()
+    assert row["features"].size == 3001 and len(row["features"].indices) <= 2
+
+
+def test_blank_category_and_clashing_names(spark):
+    train = spark.createDataFrame([("", "b_c", "c"), ("(blank)", "x", "y"), ("z", None, "c")], "e string, a string, a_b string")
+    hot = features.fit_features(train, [], ["e"]).transform(train).select(vector_to_array("features").alias("f")).collect()
+    assert [sum(x != 0 for x in r["f"]) for r in hot] == [1, 1, 1] and len({tuple(r["f"]) for r in hot}) == 3
+    wide = features.one_hot(train, {"a": ["b_c", "x"], "a_b": ["c", "y"]})
+    assert wide.columns[3:] == ["a_b_c", "a_x", "a_b_c_2", "a_b_y"]
+    assert [tuple(r)[3:] for r in wide.collect()] == [(1, 0, 1, 0), (0, 1, 0, 1), (0, 0, 1, 0)]
+
+
+def test_undersample_leaves_out_missing_labels_and_cuts_evenly(spark):
+    from tabular_lifecycle.operators.sampling import undersample
+
+    rows = [("a", i % 20) for i in range(2000)] + [("b", i % 20) for i in range(600)] + [(None, 1)] * 3
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "label string, cell int, n int")
+    kept = undersample(df, "label", sorted(df.columns), 1).groupBy("label", "cell").count().collect()
+    assert {r["label"] for r in kept} == {"a", "b"} and sum(r["count"] for r in kept) == 1200
+    assert all(10 < r["count"] < 55 for r in kept if r["label"] == "a")
+
+
+def test_missing_probabilities_take_no_part(spark):
+    rows = [("d", True, True, 0.9), ("d", False, False, 0.2), ("d", True, False, float("nan")), ("d", False, True, None)]
+    df = spark.createDataFrame(rows, "dataset string, y boolean, predicted boolean, p double")
+    got = classification_metrics(df, F.col("y"), F.col("predicted"), F.col("p")).first()
+    assert got["accuracy_score"] == 1.0 and got["log_loss"] == pytest.approx(-(math.log(0.9) + math.log(0.8)) / 2)
 
 
 def test_standardize_constant(spark):
@@ -176,10 +201,13 @@ def test_shapley_against_permutations(spark):
             assert values[(key, name)] == pytest.approx(sum(shares) / 6, abs=1e-9)
 
 
-def test_shapley_refuses_an_unbounded_background(spark, monkeypatch):
-    from tabular_lifecycle.operators import attribution
-
-    monkeypatch.setattr(attribution, "SMALL_TABLE_ROWS", 2)
-    df = spark.createDataFrame([(str(i), 1.0, 1.0, "x") for i in range(3)], "key string, a double, b double, c string")
-    with pytest.raises(ValueError, match="sample"):
-        shapley_values(df, df, ["a", "b", "c"], ["key"], rule)
+def test_shapley_with_a_spread_background_and_equal_keys(spark):
+    names = ["a", "b", "c"]
+    rows = [(float(i % 5), float(i % 3), "xy"[i % 2]) for i in range(60)]
+    background = spark.createDataFrame(rows, "a double, b double, c string").repartition(7)
+    examples = [("e", 1.5, -1.0, "x"), ("e", 0.0, 1.0, "y")]
+    schema = "key string, a double, b double, c string"
+    both = shapley_values(spark.createDataFrame(examples, schema), background, names, ["key"], rule).collect()
+    apart = [r for e in examples for r in shapley_values(spark.createDataFrame([e], schema), background, names, ["key"], rule).collect()]
+    near = lambda rows: sorted((r["feature"], round(r["value"], 9)) for r in rows)
+    assert near(both) == near(apart) and len(both) == 6

@@ -6,7 +6,6 @@ from pyspark.ml.classification import DecisionTreeClassifier
 
 from tabular_lifecycle.plans import lifecycle
 from tabular_lifecycle.plans.prepare import SUPPORTED
-from tabular_lifecycle.runtime import fresh_path
 
 
 def census_lines(n, seed, label_dot):
@@ -29,7 +28,7 @@ def work(spark, tmp_path_factory):
     (folder / "test.csv").write_text("\n".join(census_lines(500, 2, ".")))
     name = f"census_{uuid.uuid4().hex[:8]}"
     work = lifecycle.Workspace(spark, name)
-    work.reset(fresh_path(spark, name))
+    work.reset(str(tmp_path_factory.mktemp("warehouse") / name))
     lifecycle.ingest(work, str(folder / "train.csv"), str(folder / "test.csv"))
     tree = DecisionTreeClassifier(featuresCol="features", labelCol="target", maxDepth=4, seed=1)
     model = lifecycle.train(work, tree)
@@ -67,7 +66,25 @@ def test_dashboard(work):
     assert 8 < means["2010"] - means["2000"] < 12
 
 
-def test_watch_again_starts_a_new_history(work, spark):
+def test_later_reports_are_appended(work, spark):
     first = lifecycle.drift.drift_report(work.table(lifecycle.CLEAN), work.table(lifecycle.INFERENCE), "x", "2020-01-01")
     lifecycle.sinks.append_table(first, work.name(lifecycle.DRIFT))
     assert work.table(lifecycle.DRIFT).count() == 12
+
+
+def test_balancing_draws_rows_not_groups(work):
+    rows = work.table(lifecycle.CLEAN)
+    inputs = lifecycle._inputs(work, rows)
+    assert set(inputs.keys) == set(rows.columns)
+    cells = lifecycle.models.undersample(rows, inputs.label, inputs.keys, 42).groupBy("income", "sex", "occupation").count()
+    before = {tuple(r)[:3]: r["count"] for r in rows.groupBy("income", "sex", "occupation").count().collect()}
+    after = {tuple(r)[:3]: r["count"] for r in cells.collect()}
+    large = [c for c, n in before.items() if n > 60 and c[0] == "<=50k"]
+    assert large and all(0 < after.get(c, 0) < before[c] for c in large)
+
+
+def test_tables_last_when_scratch_files_go(work, spark):
+    home = spark.catalog.getDatabase(work.database).locationUri.removeprefix("file:")
+    for name in (lifecycle.RAW, lifecycle.CLEAN, lifecycle.INFERENCE, lifecycle.METRICS, lifecycle.DRIFT):
+        files = [f.removeprefix("file://") for f in work.table(name).inputFiles()]
+        assert files and all(f.startswith(home) for f in files)
