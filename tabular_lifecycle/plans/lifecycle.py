@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,13 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..operators import drift, models
+from ..operators import drift, models, profile
+from ..operators.attribution import shapley_values
+from ..operators.evaluate import METRICS as METRIC_NAMES
 from ..operators.evaluate import metric_table
 from ..operators.runs import refine_runs
-from ..operators.sampling import stratified_split
-from ..sources import read_csv
+from ..operators.sampling import fixed_sample, stratified_split
+from ..runtime import stage
+from ..sources import RUN_LOG_SCHEMA, read_csv
 from . import monitor
-from .prepare import CATEGORICAL_INPUTS, LABEL, NUMERIC_INPUTS, POSITIVE, prepare, prepare_training
+from .prepare import CATEGORICAL_INPUTS, LABEL, NUMERIC_INPUTS, POSITIVE, SUPPORTED, prepare, prepare_training
 
 # Table names that existing queries and dashboards refer to.
 RAW = "raw_income"
@@ -29,6 +34,7 @@ SEARCH_RUNS = "automl_data_bronze"
 DRIFT = "numerical_drift_income"
 MODIFIED = "modified_inference_data"
 MODIFIED_LABEL = "modified_inference_income"
+MODEL = "income"
 
 
 @dataclass(frozen=True)
@@ -83,18 +89,56 @@ def _metrics(work: Workspace, model: PipelineModel, rows: DataFrame, label: str)
     return metric_table(models.evaluate(scored, _inputs(work, rows)))
 
 
-def train(work: Workspace, classifier: Estimator | None = None) -> PipelineModel:
-    """Fit on the clean table; the metric table holds validation and inference scores."""
+def describe(work: Workspace) -> dict[str, DataFrame]:
+    """Profile of the clean table: overview, summary, and advice on columns to drop."""
+    rows = stage(work.table(CLEAN))
+    texts = [c for c, kind in rows.dtypes if kind == "string"]
+    return {
+        "overview": profile.overview(rows),
+        "summary": profile.summarize(rows),
+        "advice": profile.drop_advice(profile.correlations(rows), profile.associations(rows, texts), LABEL),
+    }
+
+
+def train(work: Workspace, classifier: Estimator | None = None, model_root: str | None = None,
+          experiment_id: str = "training") -> PipelineModel:
+    """Fit on the clean table; the metric table holds validation and inference scores.
+
+    The run with its parameters and metrics becomes the table of experiment runs. With ``model_root`` the
+    model is stored under the run's id, and what scores the tables is the model read back.
+    """
     training, validation = split_clean(work)
     inputs = _inputs(work, training)
+    classifier = classifier or models.boosted_trees()
+    started = dt.datetime.now(dt.timezone.utc)
     model = models.fit_stages(training, inputs, classifier)
-    scores = monitor.metric_history(
-        _metrics(work, model, validation, CLEAN), _metrics(work, model, work.table(INFERENCE), INFERENCE)
-    )
+    run_id = uuid.uuid4().hex
+    if model_root:
+        models.save_model(model, model_root, MODEL, run_id)
+        model = models.load_model(model_root, MODEL, run_id)
+    checked = stage(_metrics(work, model, validation, CLEAN))
+    row = checked.first()
+    metrics = {f"val_{m}": row[m] for m in METRIC_NAMES if row[m] is not None}
+    params = {p.name: str(v) for p, v in classifier.extractParamMap().items()}
+    ended = dt.datetime.now(dt.timezone.utc)
+    run = (run_id, experiment_id, metrics, {"model": type(classifier).__name__, **params}, started, ended)
+    store_runs(work, work.spark.createDataFrame([run], RUN_LOG_SCHEMA))
+    scores = monitor.metric_history(checked, _metrics(work, model, work.table(INFERENCE), INFERENCE))
     sinks.overwrite_table(scores, work.name(METRICS), work.format)
     return model
 
 
+def explain(work: Workspace, model: PipelineModel, background_rows: int = 500, examples: int = 1) -> DataFrame:
+    """Attribution of some validation rows against training rows; missing categories take the most frequent one."""
+    training, validation = split_clean(work)
+    texts = [c for c, kind in training.dtypes if kind == "string" and c in SUPPORTED]
+    common = training.agg(*[F.mode(c).alias(c) for c in texts]).first().asDict()
+    filled = [part.fillna({c: v for c, v in common.items() if v is not None}) for part in (training, validation)]
+    background = fixed_sample(filled[0], background_rows, work.keys_of(training), models.SPLIT_SEED)
+    chosen = fixed_sample(filled[1], examples, work.keys_of(validation), models.SPLIT_SEED)
+    return shapley_values(chosen, background, SUPPORTED, work.keys_of(validation), lambda rows: models.score(model, rows))
+
+
 def search(work: Workspace, experiment_id: str, **options) -> PipelineModel:
     """Search for a model within a time budget and store the refined runs."""
     training, validation = split_clean(work)

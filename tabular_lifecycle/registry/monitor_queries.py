@@ -17,16 +17,17 @@ from .model_queries import INPUTS, _rule_metrics, rounded_metrics, split_trainin
 _COLUMNS = drift.DRIFT_COLUMNS
 
 
-def _baseline(spark, sf_dir, clean=None):
-    clean = clean or _stored(fx.training, spark, sf_dir)
-    return drift.drift_report(clean, _stored(fx.inference, spark, sf_dir), fx.INFERENCE, "2000-01-01")
+def _baseline(spark, sf_dir):
+    return drift.drift_report(_stored(fx.training, spark, sf_dir), _stored(fx.inference, spark, sf_dir), fx.INFERENCE, "2000-01-01")
 
 
 def _history(spark, sf_dir):
-    """Baseline and perturbed reports against the same training rows."""
+    """Baseline and perturbed reports against the same training rows; each side of the census is joined once."""
     clean = _stored(fx.training, spark, sf_dir)
-    changed = drift.drift_report(clean, _stored(fx.modified, spark, sf_dir), fx.MODIFIED, "2010-01-01")
-    return drift.drift_history(_baseline(spark, sf_dir, clean), changed)
+    new = stage(fx.inference(spark, sf_dir).select(*fx.KEYS, *_COLUMNS))
+    first = drift.drift_report(clean, new.select(*_COLUMNS), fx.INFERENCE, "2000-01-01")
+    changed = drift.perturb(new, fx.KEYS, seed=fx.NOISE_SEED).select(*_COLUMNS)
+    return drift.drift_history(first, drift.drift_report(clean, changed, fx.MODIFIED, "2010-01-01"))
 
 
 def _stored(part, spark, sf_dir):
@@ -131,7 +132,8 @@ def chart_auc_by_year(spark, sf_dir):
 SELECT "column" AS feature, {_plain_sql('statistic, pvalue, passed')} FROM history WHERE "date" = '2010-01-01'""",
                                           "history"))
 def numerical_drift(spark, sf_dir):
-    return monitor.numerical_drift(_history(spark, sf_dir)).withColumns({
+    """Over a stored table, so that the date reaches the scan."""
+    return monitor.numerical_drift(stage(_history(spark, sf_dir))).withColumns({
         c: rounded(F.col(c).cast("double"), 5) for c in ("statistic", "pvalue")
     })
 
@@ -139,7 +141,7 @@ def numerical_drift(spark, sf_dir):
 @query("l3_total_failures", fx.with_ctes(
     'SELECT CAST(sum(CASE WHEN passed = 0 THEN 1 ELSE 0 END) AS BIGINT) AS "TOTAL_FAILURES" FROM history', "history"))
 def total_failures(spark, sf_dir):
-    return monitor.total_failures(_history(spark, sf_dir))
+    return monitor.total_failures(stage(_history(spark, sf_dir)))
 
 
 def _means_sql(source: str, year: str) -> str:

@@ -8,6 +8,9 @@ from tabular_lifecycle.plans import lifecycle
 from tabular_lifecycle.plans.prepare import SUPPORTED
 
 
+MODELS = {}
+
+
 def census_lines(n, seed, label_dot):
     draw = random.Random(seed)
     for _ in range(n):
@@ -31,9 +34,10 @@ def work(spark, tmp_path_factory):
     work.reset(str(tmp_path_factory.mktemp("warehouse") / name))
     lifecycle.ingest(work, str(folder / "train.csv"), str(folder / "test.csv"))
     tree = DecisionTreeClassifier(featuresCol="features", labelCol="target", maxDepth=4, seed=1)
-    model = lifecycle.train(work, tree)
+    model = lifecycle.train(work, tree, str(tmp_path_factory.mktemp("models")))
     lifecycle.search(work, "exp", candidates=[("tree", tree, {"maxDepth": "4"})])
     lifecycle.watch(work, model)
+    MODELS[work.database] = model
     return work
 
 
@@ -79,7 +83,8 @@ def test_balancing_draws_rows_not_groups(work):
     cells = lifecycle.models.undersample(rows, inputs.label, inputs.keys, 42).groupBy("income", "sex", "occupation").count()
     before = {tuple(r)[:3]: r["count"] for r in rows.groupBy("income", "sex", "occupation").count().collect()}
     after = {tuple(r)[:3]: r["count"] for r in cells.collect()}
-    large = [c for c, n in before.items() if n > 60 and c[0] == "<=50k"]
+    sizes = {r["income"]: r["count"] for r in rows.groupBy("income").count().collect()}
+    large = [c for c, n in before.items() if n > 60 and c[0] == max(sizes, key=sizes.get)]
     assert large and all(0 < after.get(c, 0) < before[c] for c in large)
 
 
@@ -88,3 +93,19 @@ def test_tables_last_when_scratch_files_go(work, spark):
     for name in (lifecycle.RAW, lifecycle.CLEAN, lifecycle.INFERENCE, lifecycle.METRICS, lifecycle.DRIFT):
         files = [f.removeprefix("file://") for f in work.table(name).inputFiles()]
         assert files and all(f.startswith(home) for f in files)
+
+
+def test_training_run_is_logged(work):
+    run = work.table(lifecycle.EXPERIMENT_RUNS).first()
+    score = work.table(lifecycle.METRICS).where(f"dataset = '{work.name('clean_income')}'").first()
+    assert run["experiment_id"] == "training" and run["maxDepth"] == 4.0
+    assert run["val_roc_auc_score"] == pytest.approx(score["roc_auc_score"], abs=1e-6)
+
+
+def test_profile_and_attribution(work):
+    tables = lifecycle.describe(work)
+    assert tables["overview"].count() == 15 and tables["summary"].count() > 60
+    assert set(tables["advice"].columns) == {"feature", "reason"}
+    values = lifecycle.explain(work, MODELS[work.database], background_rows=40).collect()
+    assert {r["feature"] for r in values} == set(SUPPORTED)
+    assert any(abs(r["value"]) > 1e-6 for r in values)
