@@ -95,15 +95,15 @@ def _hot_stages(train: DataFrame, categorical: Sequence[str]) -> tuple[list, lis
     return [named, *indexers, encoder], hot
 
 
-def _filled_stages(numeric: Sequence[str]) -> tuple[list, list[str]]:
-    filled = [f"{c}_filled" for c in numeric]
-    return ([Imputer(strategy="mean", inputCols=list(numeric), outputCols=filled)] if numeric else []), filled
+def _imputer(numeric: Sequence[str]) -> Imputer:
+    return Imputer(strategy="mean", inputCols=list(numeric), outputCols=[f"{c}_filled" for c in numeric])
 
 
 def encoding_stages(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
     """Imputer, indexers, one-hot vectors and their composition into ``assembled``."""
-    (imputing, filled), (encoding, hot) = _filled_stages(numeric), _hot_stages(train, categorical)
-    return [*imputing, *encoding, VectorAssembler(inputCols=[*filled, *hot], outputCol="assembled")]
+    encoding, hot = _hot_stages(train, categorical)
+    return [_imputer(numeric), *encoding,
+            VectorAssembler(inputCols=[*[f"{c}_filled" for c in numeric], *hot], outputCol="assembled")]
 
 
 def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
@@ -113,9 +113,9 @@ def fit_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence
     the sparse vectors, and moves no split of a tree and only the intercept of a linear model.
     """
     rows = train.select(*numeric, *categorical)
-    (imputing, filled), (encoding, hot) = _filled_stages(numeric), _hot_stages(rows, categorical)
-    stages, parts = [*imputing, *encoding], []
-    for columns, name, centred in ((filled, "numbers", True), (hot, "categories", False)):
+    encoding, hot = _hot_stages(rows, categorical)
+    stages, parts = [*([_imputer(numeric)] if numeric else []), *encoding], []
+    for columns, name, centred in (([f"{c}_filled" for c in numeric], "numbers", True), (hot, "categories", False)):
         if columns:
             stages += [VectorAssembler(inputCols=columns, outputCol=name),
                        StandardScaler(inputCol=name, outputCol=f"{name}_scaled", withMean=centred, withStd=True)]

@@ -58,16 +58,14 @@ def test_copies_across_the_cut(spark, monkeypatch):
     assert contents(split) == contents(stratified_split(df.repartition(3), "label", ["key"], 3))
 
 
-def test_dense_buckets_take_one_more_level(spark, monkeypatch):
+def test_many_rows_in_one_hash_prefix(spark):
     df = labelled(spark, {"a": 4000, "b": 900})
-    usual = contents(stratified_split(df, "label", ["key"], 11))
-    monkeypatch.setattr(sampling, "_DENSE_BUCKET", 0)
-    assert contents(stratified_split(df, "label", ["key"], 11)) == usual
+    split = stratified_split(df, "label", ["key"], 11)
+    assert contents(split) == contents(stratified_split(df.repartition(5), "label", ["key"], 11))
+    assert split.filter("split = 'train'").count() == 3200 + 720
 
 
-@pytest.mark.parametrize("top_k", [10_000, 0])
-def test_fixed_sample(spark, monkeypatch, top_k):
-    monkeypatch.setattr(sampling, "_TOP_K_ROWS", top_k)
+def test_fixed_sample(spark):
     df = labelled(spark, {"a": 300})
     expected = set(by_rank(df, "label", 5)["a"][:50])
     assert {r["key"] for r in fixed_sample(df, 50, ["key"], 5).collect()} == expected
