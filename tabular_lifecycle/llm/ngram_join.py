@@ -233,7 +233,8 @@ def link_classes(docs: DataFrame, width: int = 5, above: int = 80, of: int = 100
              .select("d", "root", "c1", "c2", "k", F.least("k", "o").alias("i"), F.greatest("k", "o").alias("j")))
     texts = docs.select(F.col(doc_id).cast("long").alias("e"), F.col(text).alias("t"))
     held = members.select("d").distinct()
-    near = texts.join(held, F.col("e").eqNullSafe(F.col("d")), "left_semi")
+    # Members grow with the corpus, so the plan is the same at every size: a merge join, whose heavy keys Spark splits.
+    near = texts.join(held.hint("merge"), F.col("e").eqNullSafe(F.col("d")), "left_semi")
     links = verified(dealt.join(near, F.col("d").eqNullSafe(F.col("e"))).select("root", "i", "j", "k", "c1", "c2", "t"), width, above, of)
     roots = components(stage(links, "pairs"))
     named = classes.withColumn("node", F.concat_ws(":", "c1", "c2")).join(roots, "node", "left")
