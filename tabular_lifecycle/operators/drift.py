@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +67,32 @@ _LIMIT_LAW = """
 """
 
 
+@F.pandas_udf(T.DoubleType())
+def _exact_law(n: pd.Series, m: pd.Series, statistic: pd.Series) -> pd.Series:
+    return pd.Series([exact_tail(*row) for row in zip(n, m, statistic)], dtype="float64")
+
+
+def exact_tail(n: float, m: float, statistic: float) -> float | None:
+    """Probability that two samples of one continuous law lie at least ``statistic`` apart.
+
+    The pooled values are drawn one by one without regard to side; the chance of every count of the first side
+    is carried along, and what reaches the gap on the way leaves.
+    """
+    if any(pd.isna(x) for x in (n, m, statistic)) or not n or not m:
+        return None
+    n, m = int(n), int(m)
+    wall = round(statistic * n * m)
+    first = np.arange(n + 1)
+    inside = (first == 0).astype("float64")
+    for drawn in range(n + m):
+        left = n + m - drawn
+        taken = inside * (n - first) / left
+        inside = inside * np.clip(m - (drawn - first), 0, None) / left
+        inside[1:] += taken[:-1]
+        inside[np.abs(first * m - (drawn + 1 - first) * n) >= wall] = 0.0
+    return float(min(max(1.0 - inside[n], 0.0), 1.0)) if wall > 0 else 1.0
+
+
 def add_pvalue(
     df: DataFrame, statistic: str, n: str, m: str, law: str = "finite", name: str = "pvalue"
 ) -> DataFrame:
@@ -72,10 +100,12 @@ def add_pvalue(
 
     ``limit`` is the Kolmogorov limit law. ``finite`` is the law of one sample of the effective size
     round(n*m/(n+m)): the Pelz-Good expansion in the middle of the range, twice the one-sided tail
-    beyond it.
+    beyond it. ``exact`` is the law of two samples itself, for small ones: its work grows with (n + m) * n.
     """
-    if law not in ("finite", "limit"):
-        raise ValueError("law is 'finite' or 'limit'")
+    if law not in ("finite", "limit", "exact"):
+        raise ValueError("law is 'finite', 'limit' or 'exact'")
+    if law == "exact":
+        return df.withColumn(name, _exact_law(F.col(n), F.col(m), F.col(statistic)))
     effective = f"try_divide(CAST(`{n}` AS DOUBLE) * `{m}`, CAST(`{n}` AS DOUBLE) + `{m}`)"
     size = effective if law == "limit" else f"round({effective})"
     # The parts are one struct, computed once and referred to by name.

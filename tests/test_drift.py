@@ -145,3 +145,25 @@ def test_steps_inside_buckets(spark):
     df = spark.createDataFrame(frame)
     assert measure(df, ["x"], rows_per_bucket=3).steps == 4
     assert ks_rows(df, ["x"], rows_per_bucket=3)["x"]["statistic"] == pytest.approx(gap(a, b), abs=1e-12)
+
+
+@pytest.mark.parametrize("n, m", [(1, 1), (3, 4), (5, 5), (4, 7), (6, 3)])
+def test_exact_law_counts_all_orders(spark, n, m):
+    """Every order of the pooled values is as likely as any other."""
+    from fractions import Fraction
+    from itertools import combinations
+    from math import comb
+
+    gaps = []
+    for places in combinations(range(n + m), n):
+        i = top = 0
+        for at in range(n + m):
+            i += at in places
+            top = max(top, abs(Fraction(i, n) - Fraction(at + 1 - i, m)))
+        gaps.append(top)
+    rows = [(n, m, float(d)) for d in sorted(set(gaps))] + [(n, m, None)]
+    out = drift.add_pvalue(spark.createDataFrame(rows, "n long, m long, d double"), "d", "n", "m", law="exact").collect()
+    for r in out[:-1]:
+        want = sum(g >= Fraction(r["d"]).limit_denominator(n * m) for g in gaps) / comb(n + m, n)
+        assert r["pvalue"] == pytest.approx(want, abs=1e-12)
+    assert out[-1]["pvalue"] is None or math.isnan(out[-1]["pvalue"])
