@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import json
+import math
 import os
 import re
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import Vocabulary, block_name, pack, table_blocks, unpack
+from .blocks import Vocabulary, block_name, pack, table_blocks, unpack, word_hashes
 from .common import fresh
 
+# Text for which a bucket of words is made; a block has about one distinct word for 40 bytes.
+BYTES_PER_BUCKET = 20 << 20
+_WORDS_AT_ONCE = 8192
 _CLOSE_SPACES = re.compile(r"\s\s")
 _WORD_START = re.compile(r"(?<=\S)(?= \S)")
 
@@ -90,11 +96,12 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
 
     1. Texts are split into words; a block of documents (16 MB of text) becomes numbers of its own vocabulary. Only
        numbers, compressed, travel on, and each word of a block once.
-    2. The words of all blocks meet by word, sorted; each distinct word of the corpus is encoded once. A word
-       that every text holds has one row for each block, not one for each use.
+    2. The blocks' words meet in buckets by hash, and each distinct word of the corpus is encoded once. A word that
+       every text holds has one entry for each block, not one for each use, so no bucket is hot; the number of
+       buckets grows with the text, so they stay bounded.
     3. Ids go back to (block, number) and meet the block's documents, where they are put in place by position.
 
-    Bounded memory: a block and its vocabulary. Null and empty texts give an empty array. Repeated rows are encoded
+    Bounded memory: a block and its vocabulary, or a bucket of words. Null and empty texts give an empty array. Repeated rows are encoded
     alike, an empty table gives an empty result, other columns pass through, one named as ``ids`` is replaced. Both
     passes over ``docs`` must see the same rows in the same order, as files give them; else the job fails.
     """
@@ -102,6 +109,8 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     others = [c for c in docs.columns if c not in (text, ids)]
     b, p = fresh(docs, "_block"), fresh(docs, "_places")
     narrow = docs.select(*others, text)
+    size = docs.agg(F.sum(F.octet_length(text)).alias("s")).first().s or 0
+    buckets = max(1, math.ceil(size / BYTES_PER_BUCKET))
 
     def numbered(batches):
         for sequence, block in enumerate(table_blocks(batches, text)):
@@ -117,35 +126,50 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
 
     def as_words(batches):
         for name, _, _, words in numbered(batches):
-            for start in range(0, len(words), 50_000):
-                part = words[start:start + 50_000]
+            if not words:
+                continue
+            coded = [w.encode() for w in words]
+            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+            bucket = (word_hashes(coded) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+            for i in np.flatnonzero(np.diff(cuts)):
+                at = order[cuts[i]:cuts[i + 1]]
+                chars = pa.compress(b"".join(map(coded.__getitem__, at.tolist())), codec="zstd", asbytes=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(part)), pa.array(range(start, start + len(part)), pa.int32()), pa.array(part)],
-                    names=["block", "at", "word"])
-
-    def encoded(batches):
-        tokenizer, last, last_ids = _tokenizer(vocabulary), None, []
-        for batch in batches:
-            words = batch.column("word").dictionary_encode()
-            distinct = words.dictionary.to_pylist()
-            known = [last_ids] if distinct and distinct[0] == last else []
-            found = known + [e.ids for e in tokenizer.encode_batch(distinct[len(known):], add_special_tokens=False)]
-            if distinct:
-                last, last_ids = distinct[-1], found[-1]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("at"), pa.array(found, pa.list_(pa.int32())).take(words.indices)],
-                names=["block", "at", "ids"])
+                    [pa.array([i], pa.int32()), pa.array([name]), pa.array([pack(at)]), pa.array([pack(lengths[at])]), pa.array([chars])],
+                    names=["bucket", "block", "at", "lengths", "chars"])
+
+    def encoded(group: pa.Table) -> pa.Table:
+        lengths = [unpack(x) for x in group.column("lengths").to_pylist()]
+        chars = [pa.decompress(c, decompressed_size=int(n.sum()), codec="zstd", asbytes=True)
+                 for c, n in zip(group.column("chars").to_pylist(), lengths)]
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate(lengths), dtype=np.int64)])
+        words = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(b"".join(chars))).dictionary_encode()
+        tokenizer, counts, flat = _tokenizer(vocabulary), [], []
+        for i in range(0, len(words.dictionary), _WORDS_AT_ONCE):
+            part = [e.ids for e in tokenizer.encode_batch_fast(words.dictionary[i:i + _WORDS_AT_ONCE].to_pylist(), add_special_tokens=False)]
+            counts.append(np.fromiter(map(len, part), np.int64, len(part)))
+            flat.append(np.fromiter(chain.from_iterable(part), np.int32, int(counts[-1].sum())))
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        every = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.concatenate(flat))).take(words.indices)
+        offsets, flat, start, out = np.asarray(every.offsets), np.asarray(every.values), 0, []
+        for n in lengths:
+            mine = offsets[start:start + len(n) + 1]
+            out.append((pack(np.diff(mine)), pack(flat[mine[0]:mine[-1]])))
+            start += len(n)
+        return pa.table({"block": group.column("block").combine_chunks(), "at": group.column("at").combine_chunks(),
+                         "counts": pa.array([x for x, _ in out], pa.binary()), "ids": pa.array([y for _, y in out], pa.binary())})
 
     schema = T.StructType([*[docs.schema[c] for c in others], T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def placed(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
             raise ValueError("the two passes over the documents differ; stage the input first")
-        order = np.argsort(right.column("at").to_numpy())
-        lists = right.column("ids").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        offsets, flat = np.asarray(lists.offsets), np.asarray(lists.values)
-        starts, lengths = offsets[:-1][order], np.diff(offsets)[order]
+        parts = lambda name: [np.zeros(0, np.uint32), *map(unpack, right.column(name).to_pylist())]
+        order = np.argsort(np.concatenate(parts("at")))
+        counts, flat = np.concatenate(parts("counts")).astype(np.int64), np.concatenate(parts("ids"))
+        starts, lengths = (np.cumsum(counts) - counts)[order], counts[order]
         rows = [unpack(x) if x else np.zeros(0, np.uint32) for x in left.column(p).to_pylist()]
         where = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
         if len(where) and where.max() >= len(starts):
@@ -159,9 +183,8 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
 
     carried = T.StructType([*[docs.schema[c] for c in others], T.StructField(b, T.StringType()), T.StructField(p, T.BinaryType())])
     numbers = narrow.mapInArrow(as_numbers, carried)
-    words = narrow.mapInArrow(as_words, "block string, at int, word string")
-    table = (words.repartition("word").sortWithinPartitions("word")
-             .mapInArrow(encoded, "block string, at int, ids array<int>"))
+    lists = narrow.mapInArrow(as_words, "bucket int, block string, at binary, lengths binary, chars binary")
+    table = lists.groupBy("bucket").applyInArrow(encoded, "block string, at binary, counts binary, ids binary")
     return numbers.groupBy(b).cogroup(table.groupBy("block")).applyInArrow(placed, schema)
 
 
