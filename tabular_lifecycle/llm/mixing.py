@@ -105,7 +105,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_passes: int =
         F.xxhash64(F.lit(seed), F.col(doc_id), value).alias("_h"))
     sized = stage(sized, "sized")
     b = F.shiftrightunsigned("_h", 52).cast("int") % buckets
-    counts = stage(sized.groupBy("source", "size", b.alias("_b")).agg(F.count("*").alias("n")), "counts")
+    counts = sized.groupBy("source", "size", b.alias("_b")).agg(F.count("*").alias("n"))
     lengths = counts.groupBy("source", "size").agg(F.sum("n").alias("n"))
     targets = source_targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), list(weights), max_passes)
 
@@ -122,14 +122,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_passes: int =
     plan = (a.join(t, F.col("a.source").eqNullSafe(F.col("t.source")))
             .select("a.source", "a.size", "a.n", "t.source_size", "t.target")
             .groupBy("source").applyInPandas(fitted, "source string, source_size long, target double, size long, passes int, more long"))
-    plan = stage(plan, "plan").withColumnsRenamed({"source": "_s", "size": "_z"})
+    plan = plan.withColumnsRenamed({"source": "_s", "size": "_z"})
     before = counts.selectExpr("source AS _cs", "size AS _cz", "_b AS _cb", "n AS _cn",
                                "sum(n) OVER (PARTITION BY source, size ORDER BY _b) - n AS _before")
     # (source, length, bucket): all of it, none of it, or its first _quota documents.
-    quota = before.join(plan, F.expr("_cs <=> _s AND _cz = _z")).select(
+    # Tables of lengths and buckets grow with the corpus and are not broadcast.
+    quota = before.join(plan.hint("merge"), F.expr("_cs <=> _s AND _cz = _z")).select(
         "_cs", "_cz", "_cb", "_cn", "source_size", "target", "passes", F.greatest(F.lit(0), F.col("more") - F.col("_before")).alias("_quota"))
     ranked = sized.withColumn("_b", b)
-    placed = ranked.join(quota, F.expr("source <=> _cs AND size = _cz AND _b = _cb"))
+    placed = ranked.join(quota.hint("merge"), F.expr("source <=> _cs AND size = _cz AND _b = _cb"))
     split = F.expr("_quota > 0 AND _quota < _cn")
     whole = placed.where(~split).withColumn("_more", (F.col("_quota") > 0).cast("int"))
     part = placed.where(split).withColumn(
