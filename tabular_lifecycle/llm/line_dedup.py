@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, fresh, lower_ascii
 
+_SALTS = 4
+
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, text: str = "text",
                 doc_id: str = "doc_id") -> DataFrame:
@@ -14,7 +16,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, text: s
 
     A key is the line stripped of white space, A-Z lower-cased, of at least ``min_chars`` code points. Lines are
     exploded and hashed (128 bits), documents are counted per hash with partial sums, the lost positions are joined
-    to their documents, and what stays is put together by position. Only hashes and positions are shuffled twice;
+    to their documents, and what stays is put together by position. Lines meet the table of widely
+    held ones salted, so a line that a third of the rows hold is not one task. Only hashes and positions are shuffled twice;
     texts meet their lost positions in one join on the document.
 
     Returns all columns of ``docs`` with the new text, and ``n_lines`` (before) and ``n_dropped``.
@@ -33,7 +36,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, text: s
     spread = (keyed.groupBy("h1", "h2", "d").agg(F.lit(1).alias("one"))
               .groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("d").alias("keeper"))
               .where(F.col("n") >= min_docs).drop("n"))
-    lost = (keyed.join(spread, ["h1", "h2"]).where(~F.col("d").eqNullSafe(F.col("keeper")))
+    # A line that very many documents hold meets its keeper in several parts, dealt by document.
+    spread = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    lost = (keyed.withColumn("salt", F.pmod("p", F.lit(_SALTS)).cast("int")).join(spread, ["h1", "h2", "salt"]).where(~F.col("d").eqNullSafe(F.col("keeper")))
             .groupBy(F.col("d").alias(d), F.col("p").alias(p)).agg(F.collect_set("at").alias(gone)))
     whole = base.select("*", F.split(F.coalesce(text, F.lit("")), "\n", -1).alias(lines_), F.xxhash64(text).alias(at))
     joined = whole.join(lost, whole[doc_id].eqNullSafe(lost[d]) & (whole[at] == lost[p]), "left")
