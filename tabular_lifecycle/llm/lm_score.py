@@ -15,7 +15,9 @@ from .blocks import Vocabulary, block_name, lower_words, mix, pack, table_blocks
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 END, START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0xD6E8FEB86659FD93)
-GRAMS_PER_BUCKET = 2_000_000
+GRAMS_PER_BUCKET = 1_000_000
+# Text of a block: its tokens and pairs are held as arrays, some forty times as large.
+BLOCK_BYTES = 8 << 20
 
 
 class Grams:
@@ -66,7 +68,7 @@ def score(docs: DataFrame, held_out, weight: float = 200.0, text: str = "text",
     all probabilities of a state sum to those of p. A text is read once from left to right, the state goes along, and
     the costs met are added.
 
-    How it is learnt and reached. Texts are numbered in blocks (16 MB). A block sends each of its n-grams once, as a
+    How it is learnt and reached. Texts are numbered in blocks (8 MB). A block sends each of its n-grams once, as a
     sorted list of hashes with counts in the training rows, to buckets of the hash range; a bucket adds up the blocks'
     counts and answers every block in its own order. The answers and the block's texts meet in one task, which
     reads the texts through the part of the automaton that they can reach. An n-gram of every text has one entry a
@@ -82,7 +84,7 @@ def score(docs: DataFrame, held_out, weight: float = 200.0, text: str = "text",
     buckets = max(1, math.ceil(size / 8 / GRAMS_PER_BUCKET))
 
     def numbered(batches):
-        for sequence, block in enumerate(table_blocks(batches, "t")):
+        for sequence, block in enumerate(table_blocks(batches, "t", BLOCK_BYTES)):
             vocabulary = Vocabulary()
             places = [vocabulary.numbers(lower_words(t)) for t in block.column("t").to_pylist()]
             hashes = mix(word_hashes(vocabulary.words()))
