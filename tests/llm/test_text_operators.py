@@ -129,6 +129,29 @@ def test_pii(docs, rows, no_docs):
     assert again[19] == text != {r.doc_id: r.text for r in pii.replace_pii(docs, key="other").collect()}[19]
 
 
+def replaced(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {texts[r.doc_id]: r.text for r in pii.replace_pii(frame, key="k").collect()}
+
+
+def test_families_are_distinct_and_keep_their_surrogate(spark):
+    families = [f"Mr {a}{b}{c}" for a in "BCDFGKLMNP" for b in "aeiou" for c in ("n", "rt", "ssel", "mm", "lk", "nd", "st", "tz")]
+    first = ["Mr John Ban", "Mr Robert Ban", "Mrs John Ban", "Mr Παπαδόπουλος"]
+    out = replaced(spark, families + first)
+    assert len({out[t] for t in families}) == len(families)
+    assert not {out[t] for t in families} & set(families)
+    john, robert, mrs = (out[t].split(" ") for t in first[:3])
+    assert john[2] == robert[2] == mrs[2] == out["Mr Ban"].split(" ")[1] and len({john[1], robert[1], mrs[1]}) == 3
+    assert all("Ͱ" <= c <= "Ͽ" for c in out["Mr Παπαδόπουλος"][3:])
+
+
+def test_given_names_after_titles_of_either_gender(spark):
+    out = replaced(spark, ["Mrs Jane Roe", "Frau Dr. Jane Roe", "Dr Jane Roe", "Dr Jim Roe"])
+    jane = out["Mrs Jane Roe"][4:]
+    assert out["Frau Dr. Jane Roe"] == "Frau Dr. " + jane and out["Dr Jane Roe"] == "Dr " + jane
+    assert out["Dr Jim Roe"].split()[1] != jane.split()[0] and out["Dr Jim Roe"].split()[2] == jane.split()[1]
+
+
 def test_surrogates_stay_distinct(spark):
     """Three-digit cards leave few surrogates, so draws meet and are drawn again."""
     entities = spark.range(400).selectExpr("'ssn' AS kind", "lpad(id, 3, '0') AS canon")
