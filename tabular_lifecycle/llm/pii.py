@@ -21,28 +21,33 @@ _TITLES = {
           "Lt", "Lieutenant", "Sgt", "Sergeant", "Senator", "Доктор", "Профессор"),
 }
 _TITLE_WORD = "(?:" + "|".join(t for side in _TITLES.values() for t in side) + ")"
-_ONE_TITLE = rf"{_TITLE_WORD}(?:\.[  ]{{0,2}}|[  ]{{1,2}})"
+_ONE_TITLE = rf"{_TITLE_WORD}(?:\.[ \u00A0]{{0,2}}|[ \u00A0]{{1,2}})"
 _TITLE = f"(?:{_ONE_TITLE}){{1,3}}"
 # Words of a name: O'Brien, McDonald and Anne-Marie are one; the 's of a possessive is none of it.
 _INSIDE = r"['’](?!(?:s|d|ll|re|ve|m|t)(?!\p{L}))(?=\p{L})"
 _WORD = rf"\p{{Lu}}(?:[\p{{L}}\p{{M}}]++|(?={_INSIDE}))(?:{_INSIDE}[\p{{L}}\p{{M}}]++)*+(?:-\p{{Lu}}[\p{{L}}\p{{M}}]*+)*+"
 _PARTICLE = (r"(?:(?:van|von|vom|de|del|della|dalla|degli|di|da|dal|dos|das|du|bin|ibn|ben|bint|abu|al|el|ter|te|af|av)\x20"
              r"(?:(?:und\x20zu|der|den|dem|het|la|las|los)\x20)?|[ae]l-|[dl]['’])")
-_INITIAL = r"\p{Lu}(?:\.[  -]?|[  ])"
+_INITIAL = r"\p{Lu}(?:\.[ \u00A0-]?|[ \u00A0])"
 _NAMED = rf"(?:{_INITIAL}|{_PARTICLE}){{0,4}}{_WORD}"
 _SUFFIX = r"(?:Jr|Sr|II|III|IV|Esq|PhD|MD)(?!\p{L})"
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=\.[A-Za-z]{2,24})",
+    "email": (r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++(?:'[\p{L}\p{N}._%+-]++){0,3}+@"
+              r"(?:[\p{L}\p{N}-]++\.){1,127}\p{L}{2,24}(?![\p{L}\p{N}])"),
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w)",
+    "phone": (r"(?<![\w+])(?<!\d\.)(?:"
+              r"(?:\+?1[ .-]?)?(?:\(?\d{3}\)?(?:[ .-]\d{3}[ .-]|[ -]\d{3})\d{4}|\(\d{3}\)\d{3}[ .-]?\d{4})"
+              r"|\+?1[ .-]?\d{10}(?!\.\d)|\d{6}-\d{4}|(?:[02-9]\d{9}|0\d{10})(?!\.\d)"
+              r"|0[1-9](?:[ .-]\d{2}){4}|\(?0\d{2,4}\)?[ -]\d{3,4}[ -]\d{3,4}"
+              r"|\+[1-9](?:[ .-]?\(?\d\)?){6,14}|00[1-9](?:[ .-]?\(?\d\)?){8,14})(?!\w)"),
     "card": r"(?<![\w.+])\d(?:[ -]?\d){12,18}(?!\w)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w)",
-    "name": rf"(?<!\w){_TITLE}\p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+)?",
+    "name": rf"(?<![\w\p{{L}}]){_TITLE}{_NAMED}(?:[ \u00A0](?!{_ONE_TITLE}|{_SUFFIX}){_NAMED}){{0,5}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # A text without a digit, an at sign or a title has no entity.
-_HINT = rf"[0-9@]|{_TITLE_WORD}[.  ]"
+_HINT = rf"[0-9@]|{_TITLE_WORD}[. \u00A0]"
 # Parts of surrogate names by script; given names by gender too.
 _GIVEN = {
     "m:latin": ("adam", "bruno", "carl", "david", "emil", "felix", "georg", "hugo", "ivan", "jonas"),
@@ -268,6 +273,12 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text", doc_id: str = "do
     names) gender; Latin names stand for scripts other than Cyrillic, Greek and Armenian. An initial becomes
     another letter and is not linked with full given names; a name of one word after its title counts as a family.
 
+    Not detected, so left as it is: names without a title of ``_TITLES`` (or in lower case, in scripts without capitals, of single
+    letters, on the next line), the seventh and later words of a name and suffixes (Jr); emails with quoted or rare signs in the local
+    part, or a numeric host; phones without country code beyond 3-3-4, unseparated ten digits (not from 1 on) and
+    leading zeros, and extensions; IPv6; addresses, dates of birth and other kinds of ids. A capitalised word after a name is taken
+    for a part of it, ten digits for a phone; national and international writings of a phone abroad count as two.
+
     Null or empty text and texts without entities stay as they
     are. Null ids are an id of their own; repeated rows are rewritten alike; an empty table gives an empty
     result; an existing column ``n_entities`` is replaced.

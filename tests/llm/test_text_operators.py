@@ -152,6 +152,39 @@ def test_given_names_after_titles_of_either_gender(spark):
     assert out["Dr Jim Roe"].split()[1] != jane.split()[0] and out["Dr Jim Roe"].split()[2] == jane.split()[1]
 
 
+@pytest.mark.parametrize("kind, mention, rest", [
+    ("email", "ann@site.com", "-thanks"), ("email", "ann@site.com", "--"), ("email", "ann@site.com", ".2024"),
+    ("email", "jörg.o'neill@bücher.example.org", ". Next"), ("email", "ann@site.co.uk", ""),
+    ("phone", "(743)555-3824", " x"), ("phone", "7435553824", "."), ("phone", "+17435553824", ","), ("phone", "+44 20 7946 0958", ". 2"),
+    ("phone", "+442079460958", ""), ("phone", "0044 20 7946 0958", ""), ("phone", "+44 (0)20 7946 0958", ""), ("phone", "01 23 45 67 89", ""),
+    ("phone", "020 7946 0958", ""), ("phone", "1-743-555-3824", ""), ("name", "Mrs Mary Ann Roe", " left"), ("name", "Mr McDonald", ""),
+    ("name", "Mr J. Smith", ". He"), ("name", "Mr O'Brien", "'s car"), ("name", "Mr O’Brien", "’s car"), ("name", "Dr Roe", ", who"), ("name", "Mr.\u00a0Jane\u00a0Roe", ""),
+    ("name", "Mr J.R.R. Tolkien", ""), ("name", "Herr Prof. Dr. von der Leyen", " und"), ("name", "Mme Anne-Marie de la Cruz", " et"),
+    ("name", "MR. SMITH", " "), ("name", "Mr Smith", " Mr Roe"), ("name", "Mr John Smith", " Jr."), ("name", "Г-жа Анна Иванова", " и")])
+def test_whole_entities_are_found(spark, kind, mention, rest):
+    row = spark.range(1).select(F.regexp_extract_all(F.lit(f"by {mention}{rest}"), F.lit(pii.ANY), 0).alias("m"))
+    first = row.select("m", pii.kind_of(F.col("m")[0]).alias("k")).first()
+    assert first.m[0] == mention and first.k == kind
+
+
+def test_numbers_that_are_no_phones_stay(spark):
+    texts = ["at 1700000000", "0.7435553824 of 743555.3824", "on 01-02-2024 10:30", "v 123.4567890", "Miss the bus, Mr. and so on"]
+    assert replaced(spark, texts) == {t: t for t in texts}
+
+
+def test_written_in_the_format_of_the_mention(spark):
+    texts = ["+44 20 7946 0958", "+44 (0)20 7946 0958", "0044 2079460958", "+1 207-946-0958", "(207)946-0958", "2079460958",
+             "Mr J. R. O'Brien's", "MR O’BRIEN", "Mme de la Cruz"]
+    out = replaced(spark, texts)
+    digits = lambda t: "".join(c for c in out[t] if c.isdigit())
+    assert out[texts[1]] == out[texts[0]].replace("+44 ", "+44 (0)") and digits(texts[2]) == "00" + digits(texts[0])
+    assert digits(texts[0])[:2] == "44" and digits(texts[0]) != "442079460958" and digits(texts[0])[2:] != digits(texts[5])
+    assert digits(texts[3]) == "1" + digits(texts[4]) == "1" + digits(texts[5]) and out[texts[4]][4] == ")"
+    j, r, family = out[texts[6]].split(" ")[1:]
+    assert len(j) == len(r) == 2 and j[0] != "J" and r[0] != "R" and j != r and family.endswith("'s")
+    assert out[texts[7]] == "MR " + family[:-2].upper() and out[texts[8]].startswith("Mme de la ") and "Cruz" not in out[texts[8]]
+
+
 def test_surrogates_stay_distinct(spark):
     """Three-digit cards leave few surrogates, so draws meet and are drawn again."""
     entities = spark.range(400).selectExpr("'ssn' AS kind", "lpad(id, 3, '0') AS canon")
