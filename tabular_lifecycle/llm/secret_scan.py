@@ -45,9 +45,10 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str
     """Base spans of every text and, beside them, the candidates whose ownership looks live.
 
     A candidate is a long run of key characters outside of the base spans, or a base value. Its hash is counted over
-    the corpus by distinct repositories and distinct owners. At most ``max_owners`` owners and ``max_repositories``
-    repositories: an owner's own, live-looking credential, whose candidate span is added as kind ``live``. Wider
-    spread: a copied example; its span is not added, base spans stay whatever their spread.
+    the corpus by distinct repositories and distinct owners. One owner, in however many repositories (copies of a document
+    by its owner spread nothing), or at most ``max_owners`` owners with at most ``max_repositories`` repositories for each of
+    them: an owner's own, live-looking credential, whose candidate span is added as kind ``live``. Wider spread: a
+    copied example; its span is not added, base spans stay whatever their spread.
 
     Spans are found inside each row; only candidates are shuffled (hash, owner, place), pre-aggregated per hash, and
     the texts never. Returns doc_id, base (list of spans), found (with ``live`` ones), n_assign, n_access, n_hex,
@@ -86,7 +87,7 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str
         "d", "p", "o", "r", F.sha2("c.v", 256).alias("h"), "c.span")
     spread = (held.groupBy("h", "o", "r").agg(F.lit(1).alias("one")).groupBy("h", "o").agg(F.count("*").alias("rs"))
               .groupBy("h").agg(F.count("*").alias("owners"), F.sum("rs").alias("places")))
-    live = (F.col("owners") <= max_owners) & (F.col("places") <= max_repositories)
+    live = (F.col("owners") <= max_owners) & ((F.col("owners") == 1) | (F.col("places") <= max_repositories * F.col("owners")))
     judged = (held.join(spread, "h").groupBy("d", "p").agg(
         F.collect_set(F.when(live, F.col("span"))).alias("live"),
         F.count_distinct(F.when(~live, F.col("h"))).alias("n_copied")))

@@ -104,6 +104,19 @@ def test_secret_ownership(spark, no_docs):
     assert all((out[i].n_live, out[i].n_copied, out[i].s) == (0, 1, "") for i in range(5))
 
 
+def test_copies_by_one_owner_keep_its_secret(spark, no_docs):
+    """Six copies of a document and four other files of one owner hold its key; another key has a second owner."""
+    own, copied = "Qw7" * 9, "Zx9" * 9
+    rows = [(i, f"key {own} end", "en", "o1", 0) for i in range(6)] + [(i, f"key {own} in {i}", "en", "o1", 0) for i in range(6, 10)]
+    rows += [(i, f"key {copied} end", "en", f"o{i % 2}", 0) for i in range(10, 16)]
+    docs = spark.createDataFrame(rows, no_docs.schema)
+    out = {r.doc_id: (r.n_live, r.n_copied, r.s) for r in secret_scan.scan(docs).select(
+        "doc_id", "n_live", "n_copied", secret_scan.span_text(F.col("found")).alias("s")).collect()}
+    assert out == {i: (1, 0, "live:4:31") if i < 10 else (0, 1, "") for i in range(16)}
+    wider = {r.doc_id: r.n_live for r in secret_scan.scan(docs, max_owners=2, max_repositories=2).collect()}
+    assert wider == {i: int(i < 10) for i in range(16)}
+
+
 def test_pii(docs, rows, no_docs):
     out = pii.replace_pii(docs, key="k")
     assert pii.replace_pii(no_docs, key="k").count() == 0
