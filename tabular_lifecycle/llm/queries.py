@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, lm_score, mixing, ngram_join, pii, quality_rules, secret_scan, sharding, topk_search
+from . import bpe, hard_negatives, line_dedup, lm_score, mixing, ngram_join, pii, quality_rules, secret_scan, sharding, topk_search
 from .common import hex_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,18 @@ def op7(spark, sf_dir):
 def op8(spark, sf_dir):
     held_out = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")) % 7 == 2
     return lm_score.score(table(spark, sf_dir, "documents"), held_out)
+
+
+@query("op13_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS a, c.vec_id AS c, q.label = c.label AS same, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+p AS (SELECT a, c AS p, score AS ps FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, c) <= 5)
+SELECT p.a AS anchor_id, p.p AS positive_id, row_number() OVER (PARTITION BY p.a, p.p ORDER BY s.score DESC, s.c)::INTEGER AS rank,
+       s.c AS negative_id, p.ps AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * p.ps <= 100 * s.score AND s.score <= p.ps QUALIFY rank <= 5""")
+def op13(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
