@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hard_negatives, line_dedup, lm_score, mixing, ngram_join, pii, quality_rules, secret_scan, sharding, topk_search
+from . import bpe, hard_negatives, line_dedup, lm_score, mixing, ngram_join, pii, quality_rules, secret_scan, sharding, token_align, topk_search
 from .common import hex_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,9 @@ FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * p.ps <= 100 * s.score AND s.s
 def op13(spark, sf_dir):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+@query("op12_token_align")
+def op12(spark, sf_dir):
+    out = token_align.align(table(spark, sf_dir, "documents"), *token_align.read_models())
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
