@@ -28,8 +28,9 @@ BYTES_PER_BUCKET = 20 << 20
 # Ends of both sides that one piece of the merge takes.
 PIECE_WORK = 1 << 18
 _UNITS_AT_ONCE = 8192
-_PLACES_AT_ONCE = 1 << 19
+_PLACES_AT_ONCE = 1 << 18
 _WIDE_GROUP = 1 << 12
+_CLOSE_SPACES = re.compile(r"\s\s|^\s|\s\Z")
 _WORD_START = re.compile(r"(?<=\S)(?= \S)")
 _MARK = "▁"
 
@@ -144,13 +145,26 @@ class Pair:
             part = units[start:start + _UNITS_AT_ONCE]
             mine = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
             theirs = self.b.encode([u[1:] for u in part], num_threads=1)
-            spelled = lambda ids, table: b"".join(map(table.__getitem__, ids))
-            good.extend(spelled(x, self.a_bytes) == spelled(y, self.b_bytes) == u.encode() for u, x, y in zip(part, mine, theirs))
+            good.append(self._spelled(part, mine, theirs))
             for ids, counts, lists in ((a, a_counts, mine), (b, b_counts, theirs)):
                 counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
                 ids.append(np.fromiter(chain.from_iterable(lists), np.int64, int(counts[-1].sum())))
         joined = lambda x: np.concatenate([np.zeros(0, np.int64), *x])
-        return joined(a), joined(a_counts), joined(b), joined(b_counts), np.array(good, bool)
+        return joined(a), joined(a_counts), joined(b), joined(b_counts), np.concatenate([np.zeros(0, bool), *good])
+
+    def _spelled(self, units: list[str], mine: list[list[int]], theirs: list[list[int]]) -> np.ndarray:
+        """Which units both spell: all if they do as a whole and in length, else one by one."""
+        spell = lambda ids, table: b"".join(map(table.__getitem__, ids))
+        plain = [u.encode() for u in units]
+        lengths = np.fromiter(map(len, plain), np.int64, len(plain))
+        alike = True
+        for lists, table, sizes in ((mine, self.a_bytes, self.a_lengths), (theirs, self.b_bytes, self.b_lengths)):
+            flat = list(chain.from_iterable(lists))
+            ends = np.concatenate([[0], np.cumsum(sizes[flat])]) if flat else np.zeros(1, np.int64)
+            alike = alike and (ends[np.cumsum(list(map(len, lists)), dtype=np.int64)] == np.cumsum(lengths)).all() and spell(flat, table) == b"".join(plain)
+        if alike:
+            return np.ones(len(units), bool)
+        return np.array([spell(x, self.a_bytes) == spell(y, self.b_bytes) == u for u, x, y in zip(plain, mine, theirs)], bool)
 
 
 def read_models(byte_vocabulary: str | None = None, piece_model: str | None = None) -> tuple[str, bytes]:
@@ -161,6 +175,13 @@ def read_models(byte_vocabulary: str | None = None, piece_model: str | None = No
         return vocabulary, file.read()
 
 
+def units(text: str) -> list[str]:
+    """A space and the text, cut before each single space between two characters that are not white space."""
+    if _CLOSE_SPACES.search(text):
+        return _WORD_START.split(" " + text)
+    return [" " + word for word in text.split(" ")]
+
+
 # --- one block of documents ------------------------------------------------------------------------------------------
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -297,37 +318,37 @@ def align(docs: DataFrame, vocabulary: str, model: bytes, text: str = "text", ke
         for sequence, block in enumerate(table_blocks(batches, text, block_bytes)):
             words = Vocabulary()
             texts = block.column(text).to_pylist()
-            places = [words.numbers(_WORD_START.split(" " + x)).astype(np.int64) if x else np.zeros(0, np.int64) for x in texts]
+            places = [words.numbers(units(x)).astype(np.int64) if x else np.zeros(0, np.int64) for x in texts]
             names = words.words()
             del texts
             name = block_name(sequence, len(names))
-            units = Units(names, pair)
+            found = Units(names, pair)
             del words, names
-            places = [x if units.good[x].all() else x[:0] for x in places]
-            many = units.documents_by_pair(places)
-            bucket = (mix(units.pairs.astype(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+            places = [x if found.good[x].all() else x[:0] for x in places]
+            many = found.documents_by_pair(places)
+            bucket = (mix(found.pairs.astype(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             order = np.argsort(bucket, kind="stable")
             position = np.empty(len(order), np.int64)
             position[order] = np.arange(len(order))
             kept = block.select(list(keep))
-            yield from documents(kept, name, places, units)
+            yield from documents(kept, name, places, found)
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-            of_block = [units.n_pairs, position[units.link_pair], units.link_times, units.pairs[order] >> 32, units.pairs[order] & 0xFFFFFFFF,
+            of_block = [found.n_pairs, position[found.link_pair], found.link_times, found.pairs[order] >> 32, found.pairs[order] & 0xFFFFFFFF,
                         many[order], np.diff(cuts)]
             yield pa.RecordBatch.from_arrays(
                 [*[pa.nulls(1, f.type) for f in kept.schema], pa.array([name]), pa.nulls(1, pa.binary()),
                  *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string()), *[pa.array([pack(x)], pa.binary()) for x in of_block]],
                 names=schema.fieldNames())
 
-    def documents(kept, name, places, units):
+    def documents(kept, name, places, found):
         for start in range(0, len(places), 2000):
             part = places[start:start + 2000]
             at, flat = _bounds(np.array([len(x) for x in part], np.int64)), np.concatenate(part)
             total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[flat])])[at])
-            digests = [sha256(";".join(map(units.texts.__getitem__, x.tolist())).encode()).hexdigest() if len(x) else "" for x in part]
+            digests = [sha256(";".join(map(found.texts.__getitem__, x.tolist())).encode()).hexdigest() if len(x) else "" for x in part]
             rows = kept.slice(start, 2000).combine_chunks()
             columns = [c.chunk(0) if c.num_chunks else pa.nulls(0, c.type) for c in rows.columns]
-            totals = [total(x) for x in (units.n_a, units.n_b, units.n_groups, units.n_links)]
+            totals = [total(x) for x in (found.n_a, found.n_b, found.n_groups, found.n_links)]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array([name] * len(part)), pa.array([pack(x) if len(x) else b"" for x in part], pa.binary()),
                  *[pa.array(x, pa.int64()) for x in totals], pa.array(digests, pa.string()),

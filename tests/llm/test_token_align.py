@@ -111,3 +111,14 @@ def test_overlaps_of_a_piece():
 def test_numbers_beyond_32_bits_pack():
     numbers = np.array([0, 5, 2**32 + 7, 2**40])
     assert token_align.unpack(token_align.pack(numbers)).tolist() == numbers.tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=" \n\tab\u3000é", min_size=1, max_size=30))
+def test_units_join_to_the_text_and_tokenize_alike(text):
+    pair = token_align.Pair.of(*token_align.read_models())
+    parts = token_align.units(text)
+    assert "".join(parts) == " " + text
+    a, _, b, _, good = pair.encode(parts)
+    assert a.tolist() == pair.a.encode(" " + text, add_special_tokens=False).ids and good.all()
+    assert b.tolist() == pair.b.encode(text)
