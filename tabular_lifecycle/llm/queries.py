@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hard_negatives, line_dedup, lm_score, mixing, ngram_join, pii, quality_rules, secret_scan, sharding, token_align, topk_search
+from . import bpe, hard_negatives, html_extract, line_dedup, lm_score, mixing, ngram_join, pii, quality_rules, secret_scan, sharding, token_align, topk_search
 from .common import hex_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,13 @@ def op13(spark, sf_dir):
 def op12(spark, sf_dir):
     out = token_align.align(table(spark, sf_dir, "documents"), *token_align.read_models())
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query("op11_html_extract", r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '<(/?(h1|p)|br)>', ' ', 'g') AS a FROM pages),
+t AS (SELECT page_id, url, regexp_replace(replace(regexp_replace(a, '</?b>', '', 'g'), '&quot;', '"'), '&amp;?', '&', 'g') AS t FROM a),
+b AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM t)
+SELECT page_id, url, text, length(text) AS n_chars FROM b""")
+def op11(spark, sf_dir):
+    out = html_extract.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
