@@ -18,7 +18,7 @@ from ..runtime import rounded, stage
 from . import fixtures as fx
 from .book import query
 from .model_queries import rounded_metrics, split_training
-from .sample_queries import _SPLIT_SQL
+from .sample_queries import _ranked
 
 INPUTS = models.Inputs((), CATEGORICAL_INPUTS, LABEL, POSITIVE, fx.KEYS)
 _LIST = ", ".join(CATEGORICAL_INPUTS)
@@ -54,8 +54,11 @@ def _scored(model: str, rows: str, name: str) -> str:
 
 
 _SPLIT = f"""
-, tagged AS ({_SPLIT_SQL}), stump_train AS (SELECT t.* FROM training t JOIN tagged g ON t.row_key = g.row_key WHERE split = 'train')
-, stump_validation AS (SELECT t.* FROM training t JOIN tagged g ON t.row_key = g.row_key WHERE split = 'validation')
+, tagged AS (
+  SELECT *, place <= total * 8 // 10 AS trains
+  FROM (SELECT *, {_ranked(fx.SPLIT_SEED)} AS place, count(*) OVER (PARTITION BY income) AS total FROM training))
+, stump_train AS (SELECT * EXCLUDE (trains, place, total) FROM tagged WHERE trains)
+, stump_validation AS (SELECT * EXCLUDE (trains, place, total) FROM tagged WHERE NOT trains)
 , balanced AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY income ORDER BY md5('{fx.UNDERSAMPLE_SEED}|' || row_key), row_key) AS place FROM stump_train)
   WHERE place <= (SELECT min(n) FROM (SELECT count(*) AS n FROM stump_train GROUP BY income)))
