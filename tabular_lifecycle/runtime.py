@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -41,6 +42,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _file_system(spark, path)
+    return files.exists(place)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    place, files = _file_system(spark, path)
+    if not files.rename(place, _file_system(spark, to)[0]):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -53,6 +75,24 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stage(df: DataFrame) -> None:
+    """Delete the files behind a staged frame that nothing reads any more."""
+    spark = session_of(df)
+    root = shared_folder(spark).split(":", 1)[-1].rstrip("/") + "/"
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if folder.split(":", 1)[-1].replace("//", "/").startswith(root.replace("//", "/")):
+            delete_path(spark, folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of finished work now.
+
+    It does so when the driver collects their handles, which a driver with a large heap may put off for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """Compute ``df`` now, so that joins against it are planned from the true size of its files."""
     return stage(df, name)

@@ -114,3 +114,75 @@ def test_settle_and_stage(spark):
     assert small.count() == 5 and large.count() == 50
     assert all(shared_folder(spark) in df.inputFiles()[0] for df in (small, large))
     assert stage(spark.range(7).toDF("n")).columns == ["n"]
+
+
+def failing(spark, n=200):
+    """Rows of which a late one raises."""
+    return spark.range(n, numPartitions=4).select(F.when(F.col("id") < n - 1, F.col("id")).otherwise(F.raise_error(F.lit("half-way"))).cast("int").alias("x"))
+
+
+def test_a_failed_overwrite_leaves_the_table(spark, database):
+    name = f"{database}.kept"
+    sinks.overwrite_table(spark.createDataFrame([(1,), (2,)], "x int"), name)
+    for df in (failing(spark), failing(spark).withColumn("y", F.lit(1))):
+        with pytest.raises(Exception, match="half-way"):
+            sinks.overwrite_table(df, name)
+        assert sorted(r.x for r in spark.table(name).collect()) == [1, 2] and spark.table(name).columns == ["x"]
+
+
+def test_a_table_is_replaced_from_itself_and_grows_on(spark, database):
+    name = f"{database}.own"
+    sinks.overwrite_table(spark.range(5), name)
+    for n in (4, 3):
+        sinks.overwrite_table(spark.table(name).where(f"id < {n}"), name)
+        assert spark.table(name).count() == n
+    sinks.append_table(spark.range(2), name)
+    assert spark.table(name).count() == 5
+    sinks.overwrite_table(spark.table(name).withColumn("more", F.lit("x")), name)
+    assert spark.table(name).columns == ["id", "more"] and spark.table(name).count() == 5
+    sinks.merge_append_table(spark.createDataFrame([(9, 1.5)], "id long, late double"), name)
+    assert spark.table(name).where("late = 1.5 AND more IS NULL").count() == 1
+
+
+def test_old_versions_go_with_the_table(spark, tmp_path):
+    name = f"db_{uuid.uuid4().hex[:10]}"
+    sinks.create_database(spark, name, str(tmp_path / name))
+    for i in range(4):
+        sinks.overwrite_table(spark.range(i), f"{name}.t")
+    assert len(list((tmp_path / name).iterdir())) == 2  # the version in use and the one before
+    sinks.drop_table(spark, f"{name}.t")
+    assert not list((tmp_path / name).iterdir())
+    sinks.drop_database(spark, name)
+
+
+def test_a_failed_overwrite_leaves_the_path(spark, tmp_path):
+    path = sinks.overwrite_path(spark.range(3), str(tmp_path / "files"))
+    with pytest.raises(Exception, match="half-way"):
+        sinks.overwrite_path(failing(spark), path)
+    assert spark.read.parquet(path).count() == 3
+    sinks.overwrite_path(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["files"]
+
+
+def test_batches_are_replaced_by_a_rerun(spark, database):
+    name, rows = f"{database}.history", "day date, of string, n int"
+    day = [dt.date(2000, 1, d) for d in (1, 2, 3)]
+    batch = lambda *r: spark.createDataFrame(list(r), rows)
+    sinks.replace_batches(batch((day[0], "a", 1), (day[0], "a", 2)), name, ("day", "of"))
+    sinks.replace_batches(batch((day[1], "a", 3), (day[1], "it's", 4)).select("n", "of", "day"), name, ("day", "of"))
+    for _ in range(2):
+        sinks.replace_batches(batch((day[0], "a", 9)), name, ("day", "of"))
+        assert sorted(r.n for r in spark.table(name).collect()) == [3, 4, 9]
+    with pytest.raises(Exception, match="half-way"):
+        sinks.replace_batches(failing(spark).select(F.lit(day[0]).alias("day"), F.lit("a").alias("of"), F.col("x").alias("n")), name, ("day", "of"))
+    assert sorted(r.n for r in spark.table(name).collect()) == [3, 4, 9]
+    plan = spark.table(name).where(F.col("day") == F.lit(day[1]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    sinks.replace_batches(batch((day[2], None, 7)), name, ("day", "of"), others="drop")
+    assert [tuple(r) for r in spark.table(name).select("n", "of").collect()] == [(7, None)]
+    sinks.replace_batches(batch((day[1], "it's", 5)), name, ("day", "of"), others="drop")
+    assert [tuple(r) for r in spark.table(name).select("n", "of").collect()] == [(5, "it's")]
+    with pytest.raises(ValueError):
+        sinks.replace_batches(batch((day[0], "a", 9)), name, ("day",))
+    with pytest.raises(ValueError, match="unknown columns"):
+        sinks.replace_batches(batch((day[0], "a", 9)).withColumn("z", F.lit(1)), name, ("day", "of"))
