@@ -208,9 +208,14 @@ def drift_report(
     """One row per column in the drift-table schema; computed in double and narrowed last."""
     tested = ks_two_sample(two_sided(training, comparison, columns), columns,
                            law=law, rows_per_bucket=rows_per_bucket)
+    return report_rows(tested, F.lit(date), F.lit(dataset), alpha)
+
+
+def report_rows(tested: DataFrame, date: Column, dataset: Column, alpha: float) -> DataFrame:
+    """Tested columns in the drift-table schema."""
     return tested.select(
-        F.lit(date).cast("date").alias("date"),
-        F.lit(dataset).alias("dataset"),
+        date.cast("date").alias("date"),
+        dataset.alias("dataset"),
         F.col("column"),
         F.col("statistic").cast("float").alias("statistic"),
         F.col("pvalue").cast("float").alias("pvalue"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..operators import drift, models, profile
+from ..operators import distributions, drift, models, profile
 from ..operators.attribution import shapley_values
 from ..operators.evaluate import METRICS as METRIC_NAMES
 from ..operators.evaluate import metric_table
@@ -32,6 +32,8 @@ METRICS = "metric_data_bronze"
 EXPERIMENT_RUNS = "experiment_data_bronze"
 SEARCH_RUNS = "automl_data_bronze"
 DRIFT = "numerical_drift_income"
+DISTRIBUTIONS = "numerical_distributions"
+BORDERS = "numerical_borders"
 MODIFIED = "modified_inference_data"
 MODIFIED_LABEL = "modified_inference_income"
 MODEL = "income"
@@ -67,10 +69,20 @@ class Workspace:
 
 
 def ingest(work: Workspace, training_csv: str, inference_csv: str) -> None:
-    """Raw, clean and inference tables from two header-less files."""
+    """Raw, clean and inference tables from two header-less files, and the stored distributions of the clean one."""
     raw = work.publish(read_csv(work.spark, training_csv), RAW)
-    work.publish(prepare_training(raw), CLEAN)
+    clean = work.publish(prepare_training(raw), CLEAN)
     work.publish(prepare(read_csv(work.spark, inference_csv)), INFERENCE)
+    ladder = distributions.borders(clean, drift.DRIFT_COLUMNS)
+    work.publish(distributions.borders_table(work.spark, ladder), BORDERS)
+    _store_distribution(work, clean, CLEAN)
+
+
+def _store_distribution(work: Workspace, rows: DataFrame, dataset: str) -> None:
+    """Value counts of a data set's drift columns, in place of those that were stored for it."""
+    ladder = distributions.read_borders(work.table(BORDERS))
+    counted = distributions.distribution(rows.withColumn("dataset", F.lit(work.name(dataset))), ladder)
+    sinks.replace_batches(counted, work.name(DISTRIBUTIONS), ("dataset", "column"), work.format)
 
 
 def _inputs(work: Workspace, rows: DataFrame) -> models.Inputs:
@@ -124,7 +136,7 @@ def train(work: Workspace, classifier: Estimator | None = None, model_root: str
     run = (run_id, experiment_id, metrics, {"model": type(classifier).__name__, **params}, started, ended)
     store_runs(work, work.spark.createDataFrame([run], RUN_LOG_SCHEMA))
     scores = monitor.metric_history(checked, _metrics(work, model, work.table(INFERENCE), INFERENCE))
-    sinks.overwrite_table(scores, work.name(METRICS), work.format)
+    sinks.replace_batches(scores, work.name(METRICS), ("dataset",), work.format, others="drop")
     return model
 
 
@@ -154,17 +166,20 @@ def store_runs(work: Workspace, log: DataFrame, table: str = EXPERIMENT_RUNS) ->
 
 def watch(work: Workspace, model: PipelineModel, noise_seed: int = 0, alpha: float = 0.05,
           dates: tuple[str, str] = ("2000-01-01", "2010-01-01")) -> None:
-    """Drift of the inference table, then of its perturbed copy, with the copy's metrics appended."""
-    clean, inference = work.table(CLEAN), work.table(INFERENCE)
-    first = drift.drift_report(clean, inference, work.name(INFERENCE), dates[0], alpha=alpha)
-    sinks.drop_table(work.spark, work.name(DRIFT))
-    sinks.overwrite_table(first, work.name(DRIFT), work.format)
-    changed = drift.perturb(inference, work.keys_of(inference), seed=noise_seed)
-    sinks.overwrite_table(changed, work.name(MODIFIED), work.format)
-    changed = work.table(MODIFIED)
-    second = drift.drift_report(clean, changed, work.name(MODIFIED_LABEL), dates[1], alpha=alpha)
-    sinks.append_table(second, work.name(DRIFT), work.format)
-    sinks.append_table(_metrics(work, model, changed, MODIFIED_LABEL), work.name(METRICS), work.format)
+    """Drift of the inference table and of its perturbed copy, and the copy's metrics.
+
+    Both are compared with the stored distributions of the clean table, which is not read again, in one pass. The drift
+    history is partitioned by date and data set and the metrics by data set: a rerun replaces its own batches.
+    """
+    inference = work.table(INFERENCE)
+    changed = work.publish(drift.perturb(inference, work.keys_of(inference), seed=noise_seed), MODIFIED)
+    _store_distribution(work, inference, INFERENCE)
+    _store_distribution(work, changed, MODIFIED_LABEL)
+    reports = distributions.drift_reports(
+        work.table(DISTRIBUTIONS), work.name(CLEAN),
+        {work.name(INFERENCE): dates[0], work.name(MODIFIED_LABEL): dates[1]}, alpha=alpha)
+    sinks.replace_batches(reports, work.name(DRIFT), ("date", "dataset"), work.format)
+    sinks.replace_batches(_metrics(work, model, changed, MODIFIED_LABEL), work.name(METRICS), ("dataset",), work.format)
 
 
 def dashboard(work: Workspace) -> dict[str, DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..operators import drift, models, runs
+from ..operators import distributions, drift, models, runs
 from ..operators.evaluate import METRICS, metric_table
 from ..plans import monitor
 from ..plans.prepare import LABEL, prepare
@@ -22,12 +22,21 @@ def _baseline(spark, sf_dir):
 
 
 def _history(spark, sf_dir):
-    """Baseline and perturbed reports against the same training rows; each side of the census is joined once."""
+    """Baseline and perturbed reports from stored distributions: every side is counted once, both dates in one pass."""
     clean = _stored(fx.training, spark, sf_dir)
     new = stage(fx.inference(spark, sf_dir).select(*fx.KEYS, *_COLUMNS))
-    first = drift.drift_report(clean, new.select(*_COLUMNS), fx.INFERENCE, "2000-01-01")
-    changed = drift.perturb(new, fx.KEYS, seed=fx.NOISE_SEED).select(*_COLUMNS)
-    return drift.drift_history(first, drift.drift_report(clean, changed, fx.MODIFIED, "2010-01-01"))
+    changed = drift.perturb(new, fx.KEYS, seed=fx.NOISE_SEED)
+    ladder = distributions.borders(clean, _COLUMNS)
+    sides = [side.select(F.lit(name).alias("dataset"), *_COLUMNS) for side, name in ((clean, fx.TRAINING), (new, fx.INFERENCE), (changed, fx.MODIFIED))]
+    counted = stage(distributions.distribution(sides[0].unionByName(sides[1]).unionByName(sides[2]), ladder), "distributions")
+    return distributions.drift_reports(counted, fx.TRAINING, {fx.INFERENCE: "2000-01-01", fx.MODIFIED: "2010-01-01"})
+
+
+def _stored_history(spark, sf_dir):
+    """The history as a table partitioned by date and data set."""
+    path = fresh_path(spark, "drift-history")
+    _history(spark, sf_dir).write.partitionBy("date", "dataset").parquet(path)
+    return spark.read.schema(drift.DRIFT_SCHEMA).parquet(path)
 
 
 def _stored(part, spark, sf_dir):
@@ -132,8 +141,8 @@ def chart_auc_by_year(spark, sf_dir):
 SELECT "column" AS feature, {_plain_sql('statistic, pvalue, passed')} FROM history WHERE "date" = '2010-01-01'""",
                                           "history"))
 def numerical_drift(spark, sf_dir):
-    """Over a stored table, so that the date reaches the scan."""
-    return monitor.numerical_drift(stage(_history(spark, sf_dir))).withColumns({
+    """Over a stored table, where the date names a partition."""
+    return monitor.numerical_drift(_stored_history(spark, sf_dir)).withColumns({
         c: rounded(F.col(c).cast("double"), 5) for c in ("statistic", "pvalue")
     })
 
@@ -141,7 +150,7 @@ def numerical_drift(spark, sf_dir):
 @query("l3_total_failures", fx.with_ctes(
     'SELECT CAST(sum(CASE WHEN passed = 0 THEN 1 ELSE 0 END) AS BIGINT) AS "TOTAL_FAILURES" FROM history', "history"))
 def total_failures(spark, sf_dir):
-    return monitor.total_failures(stage(_history(spark, sf_dir)))
+    return monitor.total_failures(_stored_history(spark, sf_dir))
 
 
 def _means_sql(source: str, year: str) -> str:

@@ -4,6 +4,7 @@ import uuid
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
 
+from tabular_lifecycle.operators import drift
 from tabular_lifecycle.plans import lifecycle
 from tabular_lifecycle.plans.prepare import SUPPORTED
 
@@ -61,6 +62,23 @@ def test_metrics_and_drift(work):
     assert rows[("2010-01-01", "log_capital_gain")]["passed"] == 0
 
 
+def test_watch_again_replaces_its_own_batches(work):
+    history = lambda: sorted(map(tuple, work.table(lifecycle.DRIFT).select("date", "dataset", "column", "statistic", "pvalue", "passed").collect()))
+    before = history()
+    lifecycle.watch(work, MODELS[work.database])
+    assert history() == before and len(before) == 8
+    assert work.table(lifecycle.METRICS).count() == 3
+    drifted = lifecycle.dashboard(work)["numerical_drift"]
+    assert "PartitionFilters: [isnotnull(date" in drifted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_distributions_give_the_drift_of_the_rows(work):
+    clean, new = work.table(lifecycle.CLEAN), work.table(lifecycle.INFERENCE)
+    plain = drift.drift_report(clean, new, work.name(lifecycle.INFERENCE), "2000-01-01")
+    stored = work.table(lifecycle.DRIFT).where("date = DATE '2000-01-01'").select(*plain.columns)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, plain.collect()))
+
+
 def test_dashboard(work):
     boards = lifecycle.dashboard(work)
     assert boards["run_statistics"].count() == 1 and boards["numerical_drift"].count() == 4
