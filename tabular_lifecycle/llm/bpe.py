@@ -22,6 +22,7 @@ from .common import fresh
 # Text for which a bucket of words is made; a block has about one distinct word for 40 bytes.
 BYTES_PER_BUCKET = 20 << 20
 _WORDS_AT_ONCE = 8192
+_PLACES_AT_ONCE = 1 << 18
 _CLOSE_SPACES = re.compile(r"\s\s")
 _WORD_START = re.compile(r"(?<=\S)(?= \S)")
 
@@ -70,7 +71,18 @@ def _special_pattern(vocabulary: str) -> re.Pattern | None:
     return re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
 
+_made: dict = {}
+
+
 def _tokenizer(vocabulary: str):
+    """The vocabulary's tokenizer, made once in each Python worker."""
+    key = xxhash.xxh3_128_digest(vocabulary.encode())
+    if key not in _made:
+        _made[key] = _new_tokenizer(vocabulary)
+    return _made[key]
+
+
+def _new_tokenizer(vocabulary: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core
     from tokenizers import Tokenizer
 
@@ -168,18 +180,25 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
             raise ValueError("the two passes over the documents differ; stage the input first")
         parts = lambda name: [np.zeros(0, np.uint32), *map(unpack, right.column(name).to_pylist())]
         order = np.argsort(np.concatenate(parts("at")))
-        counts, flat = np.concatenate(parts("counts")).astype(np.int64), np.concatenate(parts("ids"))
-        starts, lengths = (np.cumsum(counts) - counts)[order], counts[order]
-        rows = [unpack(x) if x else np.zeros(0, np.uint32) for x in left.column(p).to_pylist()]
-        where = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
-        if len(where) and where.max() >= len(starts):
-            raise ValueError("the two passes over the documents differ; stage the input first")
-        n = lengths[where]
-        ends = np.cumsum(n)
-        at = np.repeat(starts[where] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)]
-        out = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat[at], pa.int32()))
-        return left.select(others).append_column(ids, out)
+        counts, flat = np.concatenate(parts("counts")), np.concatenate(parts("ids")).astype(np.int32)
+        starts, lengths = (np.cumsum(counts, dtype=np.int64) - counts)[order], counts[order].astype(np.int64)
+        packed, done, chunks = left.column(p).to_pylist(), 0, []
+        while done < len(packed):
+            # Some rows at a time: positions are many times as long as what is packed.
+            rows, held = [], 0
+            while done < len(packed) and (not rows or held < _PLACES_AT_ONCE):
+                rows.append(unpack(packed[done]) if packed[done] else np.zeros(0, np.uint32))
+                held += len(rows[-1])
+                done += 1
+            where = np.concatenate(rows)
+            if len(where) and where.max() >= len(starts):
+                raise ValueError("the two passes over the documents differ; stage the input first")
+            n = lengths[where]
+            ends = np.cumsum(n)
+            at = np.repeat(starts[where] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+            bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)]
+            chunks.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat[at], pa.int32())))
+        return left.select(others).append_column(ids, pa.chunked_array(chunks, pa.list_(pa.int32())))
 
     carried = T.StructType([*[docs.schema[c] for c in others], T.StructField(b, T.StringType()), T.StructField(p, T.BinaryType())])
     numbers = narrow.mapInArrow(as_numbers, carried)
