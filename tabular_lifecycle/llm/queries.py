@@ -103,7 +103,7 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.low,
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON w.doc_id = m.a""")
 def op2(spark, sf_dir):
     linked = ngram_join.link_classes(table(spark, sf_dir, "documents"), width=3, above=90, of=100)
-    return linked.withColumnRenamed("d", "doc_id")
+    return linked.select(F.col("d").alias("doc_id"), "n_shingles", "component_id")
 
 
 @query("op4_bpe")
@@ -122,8 +122,8 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 5""")
 def op3(spark, sf_dir):
-    vectors = table(spark, sf_dir, "embeddings")
-    return topk_search.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+    found = topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 @query("op7_source_mix")

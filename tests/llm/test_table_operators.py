@@ -4,6 +4,8 @@ import brute
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tabular_lifecycle.llm import mixing, sharding, topk_search
 
 
@@ -13,7 +15,8 @@ def test_search_block_is_exact(first):
     vectors = np.floor(256 * random.normal(size=(700, 12)))
     vectors[100:140] = vectors[3]
     queries, own = vectors[::50], np.arange(0, 700, 50)
-    q, v, s = topk_search.search_block(queries, vectors, own, 5, first)
+    q, v, s, depths = topk_search.search_block(queries, vectors, own, 5, first)
+    assert len(depths) == len(queries) and (depths > 0).all() and depths.max() <= 700
     every = queries @ vectors.T
     for i in range(len(queries)):
         mine = every[i].copy()
@@ -23,33 +26,46 @@ def test_search_block_is_exact(first):
         assert (s[q == i] == every[i, v[q == i]]).all()
 
 
+def test_bounds_stop_early_where_few_stand_out():
+    random = np.random.default_rng(9)
+    vectors = np.floor(256 * random.normal(size=(2000, 6)) * 0.05)
+    vectors[:8] += 4000
+    queries = np.full((3, 6), 300.0)
+    q, v, _, depths = topk_search.search_block(queries, vectors, np.array([0, -1, -1]), 5)
+    assert depths.max() < 200 and set(v.tolist()) <= set(range(8)) and 0 not in v[q == 0]
+
+
 def _brute_top(rows, k):
-    usable = {}
-    for i, x in sorted((r[:2] for r in rows if r[0] is not None and r[1]), key=str):
-        if all(c is not None and np.isfinite(c) for c in x):
-            whole = [int(np.floor(256 * np.float64(np.float32(c)))) for c in x]
-            usable[i] = min(usable.get(i, whole), whole)
-    usable = {i: x for i, x in usable.items() if len(x) == 8}
+    usable = [(n, i, [int(np.floor(256 * c)) if abs(c) < 2**40 else 256 * int(c) for c in x]) for n, (i, x, _) in enumerate(rows)
+              if x and all(c is not None and np.isfinite(c) for c in x)]
     out = []
-    for q in (i for i in usable if i % 50 == 0):
-        scored = sorted((-sum(a * b for a, b in zip(usable[q], x)), i) for i, x in usable.items() if i != q)
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+    for n, q, v in usable:
+        if q is None or q % 50:
+            continue
+        clip = lambda s: min(max(s, -2**63), 2**63 - 1)
+        scored = sorted((-clip(sum(a * b for a, b in zip(v, x))), i is None, i or 0, m) for m, i, x in usable if m != n and len(x) == len(v))
+        out += [(q, r + 1, None if none else i, -s) for r, (s, none, i, _) in enumerate(scored[:k])]
     return Counter(out)
 
 
+def _found(spark, rows, k=5, **sizes):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id int")
+    out = topk_search.top_k(frame, F.col("vec_id") % 50 == 0, k, **sizes)
+    return Counter(tuple(r) for r in out.select("query_id", "rank", "vec_id", "score").collect())
+
+
 def test_top_k(spark):
     random = np.random.default_rng(3)
-    rows = [(i, random.normal(size=8).astype("f4").tolist(), 0) for i in range(260)]
-    rows += [(i, rows[100][1], 0) for i in range(300, 340)] + [rows[50], (None, rows[0][1], 0), (401, None, 0), (402, [], 0)]
+    rows = [(i, random.normal(size=8).tolist(), 0) for i in range(260)]
+    rows += [(i, rows[100][1], 0) for i in range(300, 340)] + [rows[50], rows[50], rows[7], (None, rows[0][1], 0), (401, None, 0), (402, [], 0)]
     rows += [(450, [float("nan")] * 8, 0), (451, [None] * 8, 0), (452, [float("inf")] * 8, 0), (453, [1.0] * 3, 0), (500, [1.0] * 8, 0), (500, [2.0] * 8, 0)]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, id int")
-    for size in (8192, 50):
-        out = topk_search.top_k(frame, frame.where("vec_id % 50 = 0"), 5, block_vectors=size, block_queries=3 if size == 50 else 1024)
-        assert Counter(tuple(r) for r in out.collect()) == _brute_top(rows, 5)
-    few = frame.where("vec_id IN (0, 1, 2)")
-    assert Counter(tuple(r) for r in topk_search.top_k(few, few.where("vec_id = 0"), 5).collect()) == _brute_top(rows[:3], 5)
-    empty = frame.where("false")
-    assert topk_search.top_k(empty, empty).count() == 0
+    rows += [(550, [1.0] * 3, 0), (551, [2.0] * 3, 0)]
+    for sizes in ({}, {"block_vectors": 50, "block_queries": 3}):
+        assert _found(spark, rows, **sizes) == _brute_top(rows, 5)
+    assert _found(spark, rows[:3]) == _brute_top(rows[:3], 5)
+    assert _found(spark, []) == Counter()
+    huge = [(i, [1e30 if i == 3 else 1.0, 3.0**20 + i, -5.0 * i], 0) for i in range(0, 60)]
+    assert _found(spark, huge) == _brute_top(huge, 5)
 
 
 def test_shards(spark, docs, rows, no_docs):
