@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import stage
+from ..runtime import drop_stage, stage
 
 # White space of the contracts, [\x20\x09-\x0D], as literal characters and inside a regular expression.
 SPACE = " \t\n\x0b\x0c\r"
@@ -51,7 +51,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large and small star steps: every node points its larger neighbours, then its smaller ones, at the
     smallest node known around it. Minima are pre-aggregated before the shuffle, so a node with very many
-    neighbours is not one task; each round is a written table. Ends when a round changes no edge.
+    neighbours is not one task; each round is a written table, which goes when the next one is written. Ends when a round
+    changes no edge.
     """
     spark = edges.sparkSession
     current = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -68,7 +69,9 @@ def components(edges: DataFrame) -> DataFrame:
         moved = large.join(low, large.a == low.u)
         small = (moved.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
                  .union(low.select("u", "m")).distinct())
-        current = stage(small, "links")
+        last, current = current, stage(small, "links")
+        drop_stage(last)
+        drop_stage(large)
         now = current.agg(print_of.alias("p")).first().p
         if now == seen:
             break

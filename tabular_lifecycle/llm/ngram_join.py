@@ -9,13 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import stage
-from .blocks import Vocabulary, lower_words, mix, table_blocks, word_hashes
+from ..runtime import drop_stage, release, stage
+from .blocks import Vocabulary, block_name, lower_words, mix, pack, table_blocks, unpack, word_hashes
 from .common import components, fresh
 
 _GROWTH = 1.6
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-_ALL = np.uint64(2**64 - 1)
+# Shingles for which a bucket of fragments is made.
+SHINGLES_PER_BUCKET = 3 << 20
 
 
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -94,54 +95,106 @@ class Fragments:
 
 
 def set_prints(docs: DataFrame, width: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(d, n, c1, c2) of every row: id, size of its set, print of its set."""
+    """(d, h, n, c1, c2) of every row: id, hash of its text, size of its set, print of its set."""
     def run(batches):
         for block in table_blocks(batches, "t"):
             sets = shingle_sets(block.column("t").to_pylist(), width)
             keys = [class_key(s) for s in sets]
-            out = block.select(["d"]).append_column("n", pa.array([len(s) for s in sets], pa.int64()))
+            out = block.select(["d", "h"]).append_column("n", pa.array([len(s) for s in sets], pa.int64()))
             out = out.append_column("c1", pa.array([k[0] for k in keys], pa.int64()))
             yield from out.append_column("c2", pa.array([k[1] for k in keys], pa.int64())).to_batches()
 
-    return docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t")).mapInArrow(
-        run, "d long, n long, c1 long, c2 long")
+    return docs.select(F.col(doc_id).cast("long").alias("d"), F.xxhash64(text).alias("h"), F.col(text).alias("t")).mapInArrow(
+        run, "d long, h long, n long, c1 long, c2 long")
 
 
-def shared_fragments(docs: DataFrame, width: int, above: int, of: int, text: str = "text") -> DataFrame:
+def pack_sorted(numbers: np.ndarray) -> bytes:
+    """Ascending numbers, as differences whose bytes stand plane by plane: the high planes are mostly zero."""
+    steps = np.diff(numbers, prepend=np.uint64(0)).astype("<u8")
+    return len(steps).to_bytes(4, "little") + pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(pa.decompress(data[4:], decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def shared_fragments(docs: DataFrame, width: int, above: int, of: int, buckets: int, text: str = "text") -> DataFrame:
     """Distinct pairs (a, b) of set prints that join all sets sharing a fragment to one of them.
 
     Copies name their fragments once for each block of documents, and sets of a block that share a fragment are
-    joined there; one row for each block and fragment travels on. So a fragment that a third of the rows share is
-    still a short group.
+    joined there; one entry for each block and fragment travels on. So a fragment that a third of the rows share is
+    still a short group. A block sends its fragments to a bucket as one packed row: sorted hashes and the numbers of
+    their sets in the block. Hashes are cut to 56 bits, so a pair may be named in vain, but none is lost.
     """
+    low_bits = np.uint64(8)
+
     def run(batches):
         fragments = Fragments(above, of)
-        for block in table_blocks(batches, "t"):
+        for sequence, block in enumerate(table_blocks(batches, "t")):
             own: dict[int, np.ndarray] = {}
             for s in shingle_sets(block.column("t").to_pylist(), width):
                 if len(s):
                     key = class_key(s)[0]
                     if key not in own:
-                        own[key] = fragments.signatures(s)
+                        own[key] = fragments.signatures(s) >> low_bits
             if not own:
                 continue
-            sig = np.concatenate(list(own.values())).astype(np.int64)
-            who = np.repeat(np.array(list(own), np.int64), [len(x) for x in own.values()])
+            names, sig = np.array(list(own), np.int64), np.concatenate(list(own.values()))
+            who = np.repeat(np.arange(len(own)), [len(x) for x in own.values()])
+            del own
             order = np.lexsort((who, sig))
             sig, who = sig[order], who[order]
             first = np.concatenate([[True], sig[1:] != sig[:-1]])
             low = who[first][np.cumsum(first) - 1]
             near = np.unique(np.stack([low[~first], who[~first]]), axis=1)
-            near = near[:, near[0] != near[1]]
-            apart = mix(near.astype(np.uint64)[0] + mix(near.astype(np.uint64)[1])).astype(np.int64)
-            for s, a, b in ((sig[first], who[first], who[first]), (apart, near[0], near[1])):
-                for i in range(0, len(s), 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 50_000]) for x in (s, a, b)], names=["s", "a", "b"])
-
-    named = docs.select(F.col(text).alias("t")).mapInArrow(run, "s long, a long, b long")
-    return named.select(F.expr("min(a) OVER (PARTITION BY s)").alias("m"), "a", "b").where("m <> a OR a <> b").select(
-        F.explode(F.array(F.struct(F.col("m").alias("x"), F.col("a").alias("y")), F.struct(F.col("a").alias("x"), F.col("b").alias("y")))).alias("e")
-    ).select("e.x", "e.y").where("x <> y").distinct().select(F.col("x").alias("a"), F.col("y").alias("b"))
+            near = names[near[:, near[0] != near[1]]]
+            sig, who = sig[first], who[first]
+            at = (sig >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(32)
+            cuts = np.searchsorted(at, np.arange(buckets + 1, dtype=np.uint64))
+            name = block_name(sequence, len(names))
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - int(names[0]) % buckets], pa.int32()), pa.array([name]), pa.array([names.tobytes()], pa.binary()),
+                                              pa.array([near.tobytes()], pa.binary())], names=["bucket", "block", "sigs", "who"])
+            for i in np.flatnonzero(np.diff(cuts)):
+                part = slice(cuts[i], cuts[i + 1])
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([name]), pa.array([pack_sorted(sig[part])], pa.binary()),
+                                                  pa.array([pack(who[part])], pa.binary())], names=["bucket", "block", "sigs", "who"])
+
+    def shared(group: pa.Table) -> pa.Table:
+        """Of a bucket, sets that share a fragment, by block and number; of negative buckets, what blocks know themselves."""
+        blocks, lists = group.column("block").to_pylist(), zip(group.column("sigs").to_pylist(), group.column("who").to_pylist())
+        a, b, numbers, others, keys, to = [], [], [], [], [], []
+        if group.column("bucket")[0].as_py() < 0:
+            for block, (names, near) in zip(blocks, lists):
+                names, near = np.frombuffer(names, np.int64), (np.frombuffer(near, np.int64) if near else np.zeros(0, np.int64)).reshape(2, -1)
+                a += [block] * len(names) + [None] * near.shape[1]
+                numbers.append(np.concatenate([np.arange(len(names)), np.zeros(near.shape[1], np.int64)]))
+                keys.append(np.concatenate([names, near[0]]))
+                to.append(np.concatenate([names, near[1]]))
+            b, others = [None] * len(a), [np.zeros(len(a), np.int64)]
+        else:
+            lists = [(unpack_sorted(x), unpack(y)) for x, y in lists]
+            sig, who = (np.concatenate(x) for x in zip(*lists))
+            of_block = np.repeat(np.arange(len(blocks)), [len(x) for x, _ in lists])
+            order = np.lexsort((who, of_block, sig))
+            sig, ref = sig[order], (of_block[order] << 32) | who[order].astype(np.int64)
+            first = np.concatenate([[True], sig[1:] != sig[:-1]])
+            lowest = ref[first][np.cumsum(first) - 1]
+            pairs = np.unique(np.stack([lowest[~first], ref[~first]]), axis=1)
+            a, b = [blocks[i] for i in (pairs[0] >> 32).tolist()], [blocks[i] for i in (pairs[1] >> 32).tolist()]
+            numbers, others = [pairs[0] & 0xFFFFFFFF], [pairs[1] & 0xFFFFFFFF]
+            keys, to = [np.zeros(len(a), np.int64)], [np.zeros(len(a), np.int64)]
+        return pa.table({"a": pa.array(a, pa.string()), "x": pa.array(np.concatenate(numbers), pa.int64()), "b": pa.array(b, pa.string()),
+                         "y": pa.array(np.concatenate(others), pa.int64()), "key": pa.array(np.concatenate(keys), pa.int64()), "to": pa.array(np.concatenate(to), pa.int64())})
+
+    named = docs.select(F.col(text).alias("t")).mapInArrow(run, "bucket int, block string, sigs binary, who binary")
+    found = stage(named.groupBy("bucket").applyInArrow(shared, "a string, x long, b string, y long, key long, to long"), "shared")
+    names = found.where("b IS NULL AND a IS NOT NULL").select("a", "x", "key")
+    pairs = found.where("b IS NOT NULL").select("a", "x", "b", "y").distinct().join(names, ["a", "x"]).select("b", "y", F.col("key").alias("k"))
+    pairs = pairs.join(names.withColumnsRenamed({"a": "b", "x": "y"}), ["b", "y"]).select(F.col("k").alias("a"), F.col("key").alias("b"))
+    near = found.where("a IS NULL").select(F.col("key").alias("a"), F.col("to").alias("b"))
+    return pairs.union(near).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _links(left: list[np.ndarray], right: list[np.ndarray] | None, above: int, of: int, chunk: int = 4096) -> np.ndarray:
@@ -204,7 +257,7 @@ def verified(candidates: DataFrame, width: int, above: int, of: int) -> DataFram
 
 def link_classes(docs: DataFrame, width: int = 5, above: int = 80, of: int = 100, text: str = "text",
                  doc_id: str = "doc_id", block_sets: int = 256) -> DataFrame:
-    """One row for each row of ``docs``: d (its id), n_shingles, component_id.
+    """One row for each row of ``docs``: d (its id), n_shingles, component_id, h (hash of its text).
 
     Two documents link when ``of`` times the size of the intersection of their sets of distinct ``width``-word
     shingles is at least ``above`` times that of the union; a component_id is the smallest id reachable by links.
@@ -219,12 +272,15 @@ def link_classes(docs: DataFrame, width: int = 5, above: int = 80, of: int = 100
 
     Null or blank text: an empty set, linked with nothing, its own component. Null ids: never the smallest, unless
     all are null. Rows of one id and different texts are documents of their own; repeated rows are copies. Empty table:
-    empty result. Other columns are not read, so none can clash.
+    empty result. Other columns are not read, so none can clash. A very long text is read whole, in a block of its own.
     """
-    spark = docs.sparkSession
+    release(docs.sparkSession)
     prints = stage(set_prints(docs, width, text, doc_id), "prints")
-    pairs = stage(shared_fragments(docs, width, above, of, text), "pairs")
+    buckets = max(1, math.ceil((prints.agg(F.sum("n").alias("n")).first().n or 0) / SHINGLES_PER_BUCKET))
+    pairs = stage(shared_fragments(docs, width, above, of, buckets, text), "pairs")
+    release(docs.sparkSession)
     clusters = components(pairs)
+    drop_stage(pairs)
     classes = prints.where("n > 0").groupBy("c1", "c2").agg(F.min("d").alias("low"))
     members = stage(classes.join(clusters, classes.c1 == clusters.node).select("root", "c1", "c2", F.col("low").alias("d")), "members")
     counts = members.groupBy("root").agg(F.ceil(F.count("*") / block_sets).cast("int").alias("blocks"))
@@ -243,13 +299,17 @@ def link_classes(docs: DataFrame, width: int = 5, above: int = 80, of: int = 100
     by_class = named.join(lowest, "root").select(F.col("c1").alias("x"), F.col("c2").alias("y"), "component_id")
     joined = prints.join(by_class, F.expr("n > 0 AND c1 = x AND c2 = y"), "left")
     return joined.select("d", F.col("n").alias("n_shingles"),
-                         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("d")).alias("component_id"))
+                         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("d")).alias("component_id"), "h")
 
 
 def keep_one(docs: DataFrame, width: int = 5, above: int = 80, of: int = 100, text: str = "text",
              doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents linked, directly or by others, to one of a smaller id; of repeated rows all stay
-    or go together. Null ids and blank texts stay."""
-    lost = fresh(docs, "_lost")
+    """``docs`` without the documents linked, directly or by others, to one of a smaller id.
+
+    Documents go by id and text: of one id with two texts, only the linked one goes; repeated rows stay or go together. Null
+    ids, and null, empty and blank texts stay. An empty table stays empty. Other columns pass through, whatever their names.
+    """
+    lost, print_ = fresh(docs, "_lost"), fresh(docs, "_print")
     linked = link_classes(docs, width, above, of, text, doc_id).where("n_shingles > 0 AND d > component_id")
-    return docs.join(linked.select(F.col("d").alias(lost)).distinct(), docs[doc_id] == F.col(lost), "left_anti")
+    gone = linked.select(F.col("d").alias(lost), F.col("h").alias(print_)).distinct()
+    return docs.join(gone, (docs[doc_id] == F.col(lost)) & (F.xxhash64(docs[text]) == F.col(print_)), "left_anti")

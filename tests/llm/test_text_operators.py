@@ -88,6 +88,22 @@ def test_keep_one(docs):
     assert ids[None] == 2 and ids[4] == ids[5] == 1
 
 
+def test_of_one_id_with_two_texts_only_the_copy_goes(spark, no_docs):
+    prose = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, prose, "en", "s", 0), (2, prose + " more", "en", "s", 0), (2, "quite another text " + prose[::-1], "en", "s", 0), (2, prose + " more", "en", "s", 0)]
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, no_docs.schema), width=3, above=90)
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([rows[0][:2], rows[2][:2]])
+
+
+def test_sorted_hashes_pack():
+    import numpy as np
+
+    numbers = np.unique(np.random.default_rng(1).integers(0, 2**56, 5000, dtype=np.uint64))
+    packed = ngram_join.pack_sorted(numbers)
+    assert (ngram_join.unpack_sorted(packed) == numbers).all() and len(packed) < 6.5 * len(numbers)
+    assert not len(ngram_join.unpack_sorted(ngram_join.pack_sorted(numbers[:0])))
+
+
 def test_secret_scan(docs, rows, no_docs):
     out = secret_scan.scan(docs)
     got = tuples(out, "doc_id", secret_scan.span_text(F.col("base")))
