@@ -77,3 +77,17 @@ def test_pipeline_of_nothing(spark, no_docs, tmp_path):
     no_docs.write.parquet(str(tmp_path / "documents.parquet"))
     assert pipeline.run(spark, str(tmp_path)).count() == 0
     assert quality_rules.cascade(no_docs).count() == 0
+
+
+def test_extra_columns_with_clashing_names_pass_through(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    from pyspark.sql import functions as F
+
+    names = ["kept", "failed_rule", "n_lines", "n_dropped", "size", "target", "passes", "source_size", "d", "_extra_1", "_lost"]
+    wide = docs.withColumns({n: F.lit(i) for i, n in enumerate(names)})
+    plain = docs
+    for name, function in pipeline.STAGES[:-1]:
+        wide, plain = pipeline.stage(function(spark, wide, sf_dir)), pipeline.stage(function(spark, plain, sf_dir))
+        assert wide.columns == [*docs.columns, *names], name
+        assert Counter(map(tuple, wide.select(*docs.columns).collect())) == Counter(map(tuple, plain.collect())), name
+        assert wide.where(" AND ".join(f"{n} = {i}" for i, n in enumerate(names))).count() == wide.count()
