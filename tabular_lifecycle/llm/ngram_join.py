@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import drop_stage, release, stage
+from ..runtime import release, stage
 from .blocks import Vocabulary, block_name, lower_words, mix, pack, table_blocks, unpack, word_hashes
 from .common import components, fresh
 
@@ -17,6 +17,9 @@ _GROWTH = 1.6
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 # Shingles for which a bucket of fragments is made.
 SHINGLES_PER_BUCKET = 3 << 20
+# A fragment that more sets of a block, or of all blocks, share is hot: its sets meet in blocks instead of in pairs.
+_HOT_IN_BLOCK, _HOT = 8, 32
+_MOST_BITS = 1 << 14
 
 
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -120,81 +123,201 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
-def shared_fragments(docs: DataFrame, width: int, above: int, of: int, buckets: int, text: str = "text") -> DataFrame:
-    """Distinct pairs (a, b) of set prints that join all sets sharing a fragment to one of them.
-
-    Copies name their fragments once for each block of documents, and sets of a block that share a fragment are
-    joined there; one entry for each block and fragment travels on. So a fragment that a third of the rows share is
-    still a short group. A block sends its fragments to a bucket as one packed row: sorted hashes and the numbers of
-    their sets in the block. Hashes are cut to 56 bits, so a pair may be named in vain, but none is lost.
+def bits_of(shingles: np.ndarray) -> bytes:
+    """Which parts of the global order hold an n-gram: a bit for each of at least twice as many parts as n-grams."""
+    width = min(_MOST_BITS, 1 << max(6, (2 * len(shingles) - 1).bit_length()))
+    held = np.zeros(width, np.uint8)
+    held[(shingles >> np.uint64(64 - width.bit_length() + 1)).astype(np.int64)] = 1
+    return np.packbits(held).tobytes()
+
+
+def unpack_bits(bits: list[bytes], width: int) -> np.ndarray:
+    """Rows of ``width`` bits; wider ones are folded, neighbouring parts into one."""
+    rows = np.stack([np.unpackbits(np.frombuffer(x, np.uint8)).reshape(width, -1).max(axis=1) for x in bits])
+    return rows.astype(np.float32)
+
+
+def may_link(a_bits: list[bytes], a_sizes: np.ndarray, b_bits: list[bytes], b_sizes: np.ndarray, above: int, of: int) -> np.ndarray:
+    """Which pairs of all a and b are not ruled out by their bits: parts that only one set holds are n-grams that
+    only one holds, and linked sets have few of these. No link is lost."""
+    width = 8 * min(map(len, a_bits + b_bits))
+    left, right = unpack_bits(a_bits, width), unpack_bits(b_bits, width)
+    apart = left.sum(axis=1)[:, None] + right.sum(axis=1)[None, :] - 2 * (left @ right.T)
+    total = a_sizes[:, None] + b_sizes[None, :]
+    near = (apart <= total * (of - above) // (of + above)) if of > above else apart == 0
+    return near & (of * np.minimum(a_sizes[:, None], b_sizes[None, :]) >= above * np.maximum(a_sizes[:, None], b_sizes[None, :]))
+
+
+def forest(at: np.ndarray, to: np.ndarray, size: int) -> np.ndarray:
+    """The least number that each of ``size`` nodes reaches by the edges."""
+    root = np.arange(size)
+    while True:
+        low = np.minimum(root[at], root[to])
+        following = root.copy()
+        np.minimum.at(following, at, low)
+        np.minimum.at(following, to, low)
+        if (following == root).all():
+            return root
+        root = following
+
+
+def _pairs_of_runs(group: np.ndarray, ref: np.ndarray) -> np.ndarray:
+    """All pairs of refs inside each run of equal ``group``; runs are short."""
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    lengths = np.diff(np.append(starts, len(group)))
+    nth = np.arange(len(group)) - np.repeat(starts, lengths)
+    found = [np.zeros((2, 0), np.int64)]
+    for step in range(1, int(lengths.max(initial=1))):
+        later = np.flatnonzero(nth >= step)
+        found.append(np.stack([ref[later - step], ref[later]]))
+    pairs = np.concatenate(found, axis=1)
+    return np.unique(np.sort(pairs, axis=0), axis=1)
+
+
+def shared_fragments(docs: DataFrame, width: int, above: int, of: int, buckets: int, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Pairs of sets that share a fragment, as (a, b, hot) by set print, and (key, n, bits) of all sets.
+
+    A block of documents sends its fragments to buckets by hash, packed: sorted hashes and the numbers of their sets
+    in the block. Hashes are cut to 56 bits, so a pair may be named in vain, but none is lost. Sets that share a
+    fragment are paired with each other; if more than a few do, the fragment is hot: they are joined to one of them
+    (and a block sends only one of its own), so a fragment that a third of the rows share is still a short group.
     """
-    low_bits = np.uint64(8)
+    low_bits, flag = np.uint64(8), 1 << 30
 
     def run(batches):
         fragments = Fragments(above, of)
         for sequence, block in enumerate(table_blocks(batches, "t")):
-            own: dict[int, np.ndarray] = {}
+            own: dict[int, tuple[np.ndarray, int, bytes]] = {}
             for s in shingle_sets(block.column("t").to_pylist(), width):
                 if len(s):
                     key = class_key(s)[0]
                     if key not in own:
-                        own[key] = fragments.signatures(s) >> low_bits
+                        own[key] = fragments.signatures(s) >> low_bits, len(s), bits_of(s)
             if not own:
                 continue
-            names, sig = np.array(list(own), np.int64), np.concatenate(list(own.values()))
-            who = np.repeat(np.arange(len(own)), [len(x) for x in own.values()])
-            del own
+            names, sig = np.array(list(own), np.int64), np.concatenate([x[0] for x in own.values()])
+            who = np.repeat(np.arange(len(own)), [len(x[0]) for x in own.values()])
             order = np.lexsort((who, sig))
             sig, who = sig[order], who[order]
-            first = np.concatenate([[True], sig[1:] != sig[:-1]])
-            low = who[first][np.cumsum(first) - 1]
-            near = np.unique(np.stack([low[~first], who[~first]]), axis=1)
+            starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+            lengths = np.diff(np.append(starts, len(sig)))
+            hot = np.repeat(lengths > _HOT_IN_BLOCK, lengths)
+            first = np.zeros(len(sig), bool)
+            first[starts] = True
+            low = np.repeat(who[starts], lengths)
+            near = np.unique(np.stack([low[hot & ~first], who[hot & ~first]]), axis=1)
             near = names[near[:, near[0] != near[1]]]
-            sig, who = sig[first], who[first]
+            stays = first | ~hot
+            sig, who = sig[stays], who[stays] | np.where(hot[stays], flag, 0)
             at = (sig >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(32)
             cuts = np.searchsorted(at, np.arange(buckets + 1, dtype=np.uint64))
             name = block_name(sequence, len(names))
-            yield pa.RecordBatch.from_arrays([pa.array([-1 - int(names[0]) % buckets], pa.int32()), pa.array([name]), pa.array([names.tobytes()], pa.binary()),
-                                              pa.array([near.tobytes()], pa.binary())], names=["bucket", "block", "sigs", "who"])
+            columns = ["bucket", "block", "sigs", "who", "sizes", "bits"]
+            binary = lambda x: pa.array([x], pa.binary())
+            yield pa.RecordBatch.from_arrays([
+                pa.array([-1 - int(names[0]) % buckets], pa.int32()), pa.array([name]), binary(names.tobytes()), binary(near.tobytes()),
+                binary(np.array([x[1] for x in own.values()], np.int64).tobytes()), pa.array([[x[2] for x in own.values()]], pa.list_(pa.binary()))], names=columns)
             for i in np.flatnonzero(np.diff(cuts)):
                 part = slice(cuts[i], cuts[i + 1])
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([name]), pa.array([pack_sorted(sig[part])], pa.binary()),
-                                                  pa.array([pack(who[part])], pa.binary())], names=["bucket", "block", "sigs", "who"])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([i], pa.int32()), pa.array([name]), binary(pack_sorted(sig[part])), binary(pack(who[part])), binary(None),
+                    pa.array([None], pa.list_(pa.binary()))], names=columns)
+
+    types = {"a": pa.string(), "x": pa.int64(), "b": pa.string(), "y": pa.int64(), "key": pa.int64(), "n": pa.int64(), "bits": pa.binary(), "hot": pa.bool_()}
+
+    def rows(**columns) -> pa.Table:
+        size = len(next(iter(columns.values())))
+        return pa.table({c: pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in types.items()})
 
     def shared(group: pa.Table) -> pa.Table:
-        """Of a bucket, sets that share a fragment, by block and number; of negative buckets, what blocks know themselves."""
-        blocks, lists = group.column("block").to_pylist(), zip(group.column("sigs").to_pylist(), group.column("who").to_pylist())
-        a, b, numbers, others, keys, to = [], [], [], [], [], []
+        """Of a bucket, pairs by block and number; of negative buckets, the sets of blocks and their hot pairs."""
+        blocks, lists = group.column("block").to_pylist(), list(zip(*(group.column(c).to_pylist() for c in ("sigs", "who", "sizes", "bits"))))
         if group.column("bucket")[0].as_py() < 0:
-            for block, (names, near) in zip(blocks, lists):
+            out = []
+            for block, (names, near, sizes, bits) in zip(blocks, lists):
                 names, near = np.frombuffer(names, np.int64), (np.frombuffer(near, np.int64) if near else np.zeros(0, np.int64)).reshape(2, -1)
-                a += [block] * len(names) + [None] * near.shape[1]
-                numbers.append(np.concatenate([np.arange(len(names)), np.zeros(near.shape[1], np.int64)]))
-                keys.append(np.concatenate([names, near[0]]))
-                to.append(np.concatenate([names, near[1]]))
-            b, others = [None] * len(a), [np.zeros(len(a), np.int64)]
-        else:
-            lists = [(unpack_sorted(x), unpack(y)) for x, y in lists]
-            sig, who = (np.concatenate(x) for x in zip(*lists))
-            of_block = np.repeat(np.arange(len(blocks)), [len(x) for x, _ in lists])
-            order = np.lexsort((who, of_block, sig))
-            sig, ref = sig[order], (of_block[order] << 32) | who[order].astype(np.int64)
-            first = np.concatenate([[True], sig[1:] != sig[:-1]])
-            lowest = ref[first][np.cumsum(first) - 1]
-            pairs = np.unique(np.stack([lowest[~first], ref[~first]]), axis=1)
-            a, b = [blocks[i] for i in (pairs[0] >> 32).tolist()], [blocks[i] for i in (pairs[1] >> 32).tolist()]
-            numbers, others = [pairs[0] & 0xFFFFFFFF], [pairs[1] & 0xFFFFFFFF]
-            keys, to = [np.zeros(len(a), np.int64)], [np.zeros(len(a), np.int64)]
-        return pa.table({"a": pa.array(a, pa.string()), "x": pa.array(np.concatenate(numbers), pa.int64()), "b": pa.array(b, pa.string()),
-                         "y": pa.array(np.concatenate(others), pa.int64()), "key": pa.array(np.concatenate(keys), pa.int64()), "to": pa.array(np.concatenate(to), pa.int64())})
-
-    named = docs.select(F.col(text).alias("t")).mapInArrow(run, "bucket int, block string, sigs binary, who binary")
-    found = stage(named.groupBy("bucket").applyInArrow(shared, "a string, x long, b string, y long, key long, to long"), "shared")
-    names = found.where("b IS NULL AND a IS NOT NULL").select("a", "x", "key")
-    pairs = found.where("b IS NOT NULL").select("a", "x", "b", "y").distinct().join(names, ["a", "x"]).select("b", "y", F.col("key").alias("k"))
-    pairs = pairs.join(names.withColumnsRenamed({"a": "b", "x": "y"}), ["b", "y"]).select(F.col("k").alias("a"), F.col("key").alias("b"))
-    near = found.where("a IS NULL").select(F.col("key").alias("a"), F.col("to").alias("b"))
-    return pairs.union(near).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+                out.append(rows(a=[block] * len(names), x=np.arange(len(names)), key=names, n=np.frombuffer(sizes, np.int64), bits=bits))
+                out.append(rows(x=near[0], y=near[1], hot=np.ones(near.shape[1], bool)))
+            return pa.concat_tables(out)
+        lists = [(unpack_sorted(x[0]), unpack(x[1])) for x in lists]
+        sig, who = (np.concatenate(x) for x in zip(*lists))
+        of_block = np.repeat(np.arange(len(blocks)), [len(x) for x, _ in lists])
+        order = np.lexsort((who & (flag - 1), of_block, sig))
+        sig, marked = sig[order], (who[order] & flag) > 0
+        ref = (of_block[order] << 32) | (who[order] & (flag - 1)).astype(np.int64)
+        starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        lengths = np.diff(np.append(starts, len(sig)))
+        hot = (lengths > _HOT) | np.maximum.reduceat(marked, starts)
+        of_run, hot_row = np.repeat(np.arange(len(starts)), lengths), np.repeat(hot, lengths)
+        star = np.unique(np.stack([np.repeat(ref[starts], lengths)[hot_row], ref[hot_row]]), axis=1)
+        star = star[:, star[0] != star[1]]
+        pairs = np.concatenate([star, _pairs_of_runs(of_run[~hot_row], ref[~hot_row])], axis=1)
+        side = lambda x: [blocks[i] for i in (x >> 32).tolist()]
+        return rows(a=side(pairs[0]), x=pairs[0] & 0xFFFFFFFF, b=side(pairs[1]), y=pairs[1] & 0xFFFFFFFF, hot=np.arange(pairs.shape[1]) < star.shape[1])
+
+    named = docs.select(F.col(text).alias("t")).mapInArrow(run, "bucket int, block string, sigs binary, who binary, sizes binary, bits array<binary>")
+    found = stage(named.groupBy("bucket").applyInArrow(shared, "a string, x long, b string, y long, key long, n long, bits binary, hot boolean"), "shared")
+    names = found.where("key IS NOT NULL").select("a", "x", "key", "n", "bits")
+    refs = names.select("a", "x", "key")
+    pairs = found.where("b IS NOT NULL").groupBy("a", "x", "b", "y").agg(F.max("hot").alias("hot"))
+    pairs = pairs.join(refs, ["a", "x"]).select("b", "y", "hot", F.col("key").alias("k"))
+    pairs = pairs.join(refs.withColumnsRenamed({"a": "b", "x": "y"}), ["b", "y"]).select(F.col("k").alias("a"), F.col("key").alias("b"), "hot")
+    near = found.where("a IS NULL").select(F.col("x").alias("a"), F.col("y").alias("b"), "hot")
+    pairs = pairs.union(near).where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("hot").alias("hot"))
+    return stage(pairs, "pairs"), stage(names.groupBy("key").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "sets")
+
+
+def near_pairs(pairs: DataFrame, sets: DataFrame, above: int, of: int, block_sets: int) -> DataFrame:
+    """Pairs (a, b) that hold together all sets that may be linked, from pairs that share a fragment.
+
+    Pairs of cold fragments are looked at one by one: only those that their bits do not rule out stay. Sets joined by hot
+    fragments meet in blocks of their bits, and what stays of a pair of blocks is a forest.
+    """
+    types = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def one_by_one(batches):
+        for batch in batches:
+            keep = []
+            for n, bits, m, others in zip(*(batch.column(c).to_pylist() for c in ("n", "bits", "m", "others"))):
+                x, y = sorted((np.frombuffer(bits, np.uint8), np.frombuffer(others, np.uint8)), key=len)
+                wide = np.unpackbits(y).reshape(8 * len(x), -1).max(axis=1) if len(y) > len(x) else np.unpackbits(y)
+                apart = int((np.unpackbits(x) != wide).sum())
+                keep.append(apart <= (n + m) * (of - above) // (of + above) and of * min(n, m) >= above * max(n, m))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def in_blocks(group: pa.Table) -> pa.Table:
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        mine = np.asarray(group.column("k")) == i
+        sides = [group.filter(pa.array(mine)), group.filter(pa.array(~mine))] if i != j else [group, group]
+        keys = [np.asarray(x.column("key")) for x in sides]
+        if not len(keys[0]) or not len(keys[1]):
+            return types.empty_table()
+        sizes, bits = [np.asarray(x.column("n")) for x in sides], [x.column("bits").to_pylist() for x in sides]
+        # Sets of one width of bits at a time: linked sets are of the same or of neighbouring widths.
+        widths, at, to = [np.array(list(map(len, b))) for b in bits], [], []
+        for w in np.unique(widths[0]):
+            for v in np.unique(widths[1]):
+                if max(w, v) <= 4 * min(w, v):
+                    p, q = np.flatnonzero(widths[0] == w), np.flatnonzero(widths[1] == v)
+                    x, y = np.nonzero(may_link([bits[0][r] for r in p], sizes[0][p], [bits[1][r] for r in q], sizes[1][q], above, of))
+                    at.append(p[x])
+                    to.append(q[y])
+        at, to = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, to))
+        every = np.concatenate(keys) if i != j else keys[0]
+        root = forest(at, to + (len(keys[0]) if i != j else 0), len(every))
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"a": every[root[moved]], "b": every[moved]}, types)
+
+    by = lambda key, n, bits: sets.select(F.col("key").alias(key), F.col("n").alias(n), F.col("bits").alias(bits))
+    cold = pairs.where("NOT hot").join(by("a", "n", "bits"), "a").join(by("b", "m", "others"), "b")
+    cold = cold.where(of * F.least("n", "m") >= above * F.greatest("n", "m")).select("a", "b", "n", "bits", "m", "others").mapInArrow(one_by_one, "a long, b long")
+    joined = components(pairs.where("hot").select("a", "b"))
+    members = stage(joined.join(sets, joined.node == sets.key).select("root", "key", "n", "bits"), "hot-sets")
+    counts = members.groupBy("root").agg(F.ceil(F.count("*") / block_sets).cast("int").alias("blocks"))
+    dealt = (members.join(counts, "root").withColumn("k", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("root", "key", "n", "bits", "k", F.least("k", "o").alias("i"), F.greatest("k", "o").alias("j")))
+    return cold.union(dealt.groupBy("root", "i", "j").applyInArrow(in_blocks, "a long, b long")).where("a <> b").distinct()
 
 
 def _links(left: list[np.ndarray], right: list[np.ndarray] | None, above: int, of: int, chunk: int = 4096) -> np.ndarray:
@@ -238,16 +361,7 @@ def verified(candidates: DataFrame, width: int, above: int, of: int) -> DataFram
         if one and (two is None or two):
             linked = _links([sets[x][1] for x in one], [sets[x][1] for x in two] if two else None, above, of)
             at, to = np.nonzero(linked)
-            to = to + len(one) if two else to
-            root = np.arange(len(names))
-            while True:  # every name takes the least number among its links
-                low = np.minimum(root[at], root[to])
-                following = root.copy()
-                np.minimum.at(following, at, low)
-                np.minimum.at(following, to, low)
-                if (following == root).all():
-                    break
-                root = following
+            root = forest(at, to + len(one) if two else to, len(names)).tolist()
             edges = [(names[x], names[r]) for x, r in enumerate(root) if x != r]
         text = lambda side: pa.array([f"{e[side][0]:d}:{e[side][1]:d}" for e in edges], pa.string())
         return pa.table({"a": text(0), "b": text(1)})
@@ -263,8 +377,9 @@ def link_classes(docs: DataFrame, width: int = 5, above: int = 80, of: int = 100
     shingles is at least ``above`` times that of the union; a component_id is the smallest id reachable by links.
 
     1. Equal sets are one class, so copies never meet each other.
-    2. The global order of n-grams is cut into fragments, and classes that share a whole fragment are joined to one of
-       them (``Fragments`` says why no link is lost). Components of these pairs are candidate clusters.
+    2. The global order of n-grams is cut into fragments, and classes that share a whole fragment are paired
+       (``Fragments`` says why no link is lost). Pairs that differ in too many parts of the order go; components of
+       the others are candidate clusters (``near_pairs``).
     3. Inside a cluster, blocks of classes meet in pairs; overlaps are counted fragment by fragment, summed for each
        pair of classes, and compared exactly. A cluster of any size is cut into tasks of ``block_sets`` classes a
        side; what comes out of each is a forest of its links.
@@ -277,10 +392,9 @@ def link_classes(docs: DataFrame, width: int = 5, above: int = 80, of: int = 100
     release(docs.sparkSession)
     prints = stage(set_prints(docs, width, text, doc_id), "prints")
     buckets = max(1, math.ceil((prints.agg(F.sum("n").alias("n")).first().n or 0) / SHINGLES_PER_BUCKET))
-    pairs = stage(shared_fragments(docs, width, above, of, buckets, text), "pairs")
+    pairs, sets = shared_fragments(docs, width, above, of, buckets, text)
+    clusters = components(near_pairs(pairs, sets, above, of, 8 * block_sets))
     release(docs.sparkSession)
-    clusters = components(pairs)
-    drop_stage(pairs)
     classes = prints.where("n > 0").groupBy("c1", "c2").agg(F.min("d").alias("low"))
     members = stage(classes.join(clusters, classes.c1 == clusters.node).select("root", "c1", "c2", F.col("low").alias("d")), "members")
     counts = members.groupBy("root").agg(F.ceil(F.count("*") / block_sets).cast("int").alias("blocks"))

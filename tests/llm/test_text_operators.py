@@ -95,6 +95,40 @@ def test_of_one_id_with_two_texts_only_the_copy_goes(spark, no_docs):
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([rows[0][:2], rows[2][:2]])
 
 
+def test_bits_rule_out_no_linked_pair():
+    import numpy as np
+
+    random = np.random.default_rng(4)
+    for size in (1, 5, 40, 300, 9000):
+        a = np.unique(random.integers(0, 2**64, size, dtype=np.uint64))
+        for lost in {0, size // 20, size // 10, size // 6}:
+            b = np.unique(np.concatenate([a[lost:], random.integers(0, 2**64, lost, dtype=np.uint64)]))
+            held = len(np.intersect1d(a, b))
+            may = ngram_join.may_link([ngram_join.bits_of(a)], np.array([len(a)]), [ngram_join.bits_of(b)], np.array([len(b)]), 80, 100)[0, 0]
+            assert may or 100 * held < 80 * (len(a) + len(b) - held)
+        other = np.unique(random.integers(0, 2**64, size, dtype=np.uint64))
+        if 5 <= size <= 300:
+            assert not ngram_join.may_link([ngram_join.bits_of(a)], np.array([len(a)]), [ngram_join.bits_of(other)], np.array([len(other)]), 80, 100)[0, 0]
+
+
+def test_a_chain_of_shared_passages_is_no_cluster(spark, no_docs):
+    """Neighbours share a passage and none are linked: hardly any pair is compared exactly."""
+    passage = lambda i: [f"p{i}x{j}" for j in range(40)]
+    rows = [(i, " ".join(passage(i) + [f"own{i}x{j}" for j in range(60)] + passage(i + 1)), None, None, None) for i in range(300)]
+    chain = spark.createDataFrame(rows, no_docs.schema)
+    pairs, sets = ngram_join.shared_fragments(chain, 5, 80, 100, 2)
+    assert pairs.count() >= 250 and ngram_join.near_pairs(pairs, sets, 80, 100, 64).count() == 0
+    assert ngram_join.link_classes(chain).where("component_id <> d").count() == 0
+
+
+@pytest.mark.parametrize("hot_in_block, hot", [(0, 0), (1, 2), (10**6, 10**6)])
+def test_hot_and_cold_fragments_give_the_same_links(docs, rows, monkeypatch, hot_in_block, hot):
+    monkeypatch.setattr(ngram_join, "_HOT_IN_BLOCK", hot_in_block)
+    monkeypatch.setattr(ngram_join, "_HOT", hot)
+    out = ngram_join.link_classes(docs, 3, 90, 100, block_sets=2)
+    assert tuples(out, "d", "n_shingles", "component_id") == Counter(brute.link_components(rows, 3, 90, 100))
+
+
 def test_sorted_hashes_pack():
     import numpy as np
 
