@@ -111,8 +111,8 @@ UNION ALL SELECT row_key, 'race', 0.0::DOUBLE FROM example"""
 @query("i6_attribution", fx.with_ctes(_SHAPLEY_SQL, "training", "inference"))
 def attribution(spark, sf_dir):
     columns = ["row_key", *SUPPORTED]
-    background = fixed_sample(fx.training(spark, sf_dir).select(*columns), 500, fx.KEYS, fx.SAMPLE_SEED)
-    example = fixed_sample(fx.inference(spark, sf_dir).select(*columns), 1, fx.KEYS, 1)
+    background = fixed_sample(stage(fx.training(spark, sf_dir).select(*columns)), 500, fx.KEYS, fx.SAMPLE_SEED)
+    example = fixed_sample(stage(fx.inference(spark, sf_dir).select(*columns)), 1, fx.KEYS, 1)
     values = shapley_values(example, background, SUPPORTED, fx.KEYS, fx.rule_score, silent=["race"])
     return values.withColumn("value", rounded(F.col("value")))
 

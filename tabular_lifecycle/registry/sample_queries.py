@@ -55,7 +55,7 @@ def undersampled(spark, sf_dir):
 @query("g3_fixed_sample", fx.with_ctes(f"""
 SELECT row_key, income, fnlwgt FROM training ORDER BY md5('{fx.SAMPLE_SEED}|' || row_key), row_key LIMIT 500""", "training"))
 def sample(spark, sf_dir):
-    rows = fx.training(spark, sf_dir).select("row_key", "income", "fnlwgt")
+    rows = stage(fx.training(spark, sf_dir).select("row_key", "income", "fnlwgt"))
     return fixed_sample(rows, 500, fx.KEYS, fx.SAMPLE_SEED)
 
 
