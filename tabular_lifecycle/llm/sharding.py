@@ -52,16 +52,27 @@ def below(cuts: tuple[Cut | None, ...], keys: Column, node: Column) -> Column:
     return 2 * node + (F.get(keys, F.get(axis, node)) >= F.get(key, node)).cast("int")
 
 
-def _text_code(value: Column) -> Column:
-    """An order-keeping number of a text's first six bytes; null comes first."""
-    head = F.rpad(F.hex(F.substring(F.encode(F.coalesce(value, F.lit("")), "utf-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+def number_texts(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with each text of ``columns`` replaced by its place among the column's distinct texts, null as the empty text.
+
+    Distinct texts are sorted over range partitions; what lies before a partition is one number for each of them.
+    """
+    for c in columns:
+        texts = rows.select(F.coalesce(F.col(c), F.lit("")).alias("_text")).distinct()
+        held = stage(texts.repartitionByRange("_text").sortWithinPartitions("_text")
+                     .withColumn("_id", F.monotonically_increasing_id()), "texts")
+        part = F.shiftright("_id", 33)
+        counts = held.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+        starts = counts.selectExpr("_part", "sum(_n) OVER (ORDER BY _part) - _n AS _start")
+        numbers = held.withColumn("_part", part).join(starts, "_part").select(
+            "_text", (F.col("_start") + F.col("_id").bitwiseAND(F.lit(2**33 - 1))).alias("_number"))
+        joined = rows.join(numbers, F.coalesce(rows[c], F.lit("")) == F.col("_text"))
+        rows = joined.select(*[F.col("_number").alias(c) if x == c else rows[x] for x in rows.columns])
+    return rows
 
 
 def _axis(df: DataFrame, name: str) -> Column:
     kind, c = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.StringType):
-        return _text_code(c)
     if isinstance(kind, (T.DateType, T.TimestampType)):
         return F.unix_timestamp(c.cast("timestamp")).cast("double")
     number = c.cast("double")
@@ -70,7 +81,7 @@ def _axis(df: DataFrame, name: str) -> Column:
 
 def fit_tree(rows: DataFrame, size: str, shards: int, dimensions: list[str], identity: list[str],
              tolerance: float = 0.002) -> Tree:
-    """Cut ``rows`` into ``shards`` leaves of near equal total ``size``.
+    """Cut ``rows`` into ``shards`` leaves of near equal total ``size``; text dimensions come numbered (``number_texts``).
 
     A node of k leaves is cut at the weighted quantile floor(k/2)/k along its widest dimension: the one along which
     the node spans the largest part of the whole table's range. All nodes of a level are cut together. A cut is found
@@ -158,8 +169,9 @@ def shard(docs: DataFrame, shards: int = 40, dimensions: tuple[str, ...] = ("sou
           text: str = "text", doc_id: str = "doc_id", overhead: int = 16) -> DataFrame:
     """Every document's place: doc_id, size, text_crc32, shard, slot.
 
-    The tree is fitted on staged keys (four numbers a row); texts are read once, for their size and checksum, and
-    never shuffled. ``fit_tree`` and ``Tree.shard`` give the same shard to full rows as a map, to write them out.
+    The tree is fitted on staged keys (four numbers a row); documents are read once, for size and checksum, and
+    never shuffled. ``fit_tree`` and ``Tree.shard`` give the same shard to full rows with the same numbers, to write them out.
+    A text dimension (a source, a language) counts by its place among its distinct values, however alike they begin.
 
     Null text: size ``overhead``, checksum of the empty text. Null metadata count as the smallest value. Repeated
     rows lie side by side; equal texts under different ids may part, as the law is equal bytes. Empty table: empty
@@ -171,6 +183,8 @@ def shard(docs: DataFrame, shards: int = 40, dimensions: tuple[str, ...] = ("sou
         F.col(doc_id).alias("id"), (F.octet_length(value) + overhead).cast("long").alias("size"),
         F.crc32(F.encode(value, "utf-8")).cast("long").alias("text_crc32"),
         *[F.col(d).alias(m) for d, m in zip(dimensions, names)]), "sizes")
+    texts = [m for m in names if isinstance(rows.schema[m].dataType, T.StringType)]
+    rows = stage(number_texts(rows, texts), "numbered") if texts else rows
     tree = fit_tree(rows, "size", shards, names, ["id", "text_crc32", "size"])
     placed = (rows.select("id", "size", "text_crc32", tree.keys().alias("keys"))
               .select("id", "size", "text_crc32", tree.shard(F.col("keys")).alias("shard")))

@@ -1,3 +1,4 @@
+import zlib
 from collections import Counter, defaultdict
 
 import brute
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabular_lifecycle.llm import mixing, sharding, topk_search
+from tabular_lifecycle.runtime import stage
 
 
 @pytest.mark.parametrize("first", [0.02, 0.5])
@@ -129,3 +131,48 @@ def test_mix(spark, docs, rows, no_docs):
     assert mixing.mix(no_docs).count() == 0
     with pytest.raises(ValueError):
         mixing.mix(docs, keep=("size",))
+
+
+def test_shard_checksums_and_sources(spark, docs, rows):
+    out = sharding.shard(docs, 3).collect()
+    assert Counter((r.doc_id, r.text_crc32) for r in out) == Counter((d, zlib.crc32((t or "").encode())) for d, t, *_ in rows)
+    many = spark.range(4000).selectExpr(
+        "id AS doc_id", "repeat('x', 50 + int(id % 7)) AS text", "concat('source_00', id % 4) AS source", "'en' AS lang", "int(id % 90) AS n_chars")
+    placed = sharding.shard(many, 4).select("doc_id", "shard").collect()
+    held = defaultdict(set)
+    for r in placed:
+        held[r.shard].add(r.doc_id % 4)
+    assert sorted(map(len, held.values())) == [2, 2, 2, 2]
+
+
+def _plain_shard(keys, size, leaves, first=0):
+    """{row: shard} of rows with integer keys, by sorting each node along its widest axis."""
+    rows = list(keys)
+    if leaves == 1 or not rows:
+        return {r: first for r in rows}
+    spans = [max(keys[r][i] for r in rows) - min(keys[r][i] for r in rows) for i in range(len(keys[rows[0]]))]
+    axis = max(range(len(spans)), key=lambda i: (spans[i], -i))
+    want, before, cut = sum(size[r] for r in rows) * (leaves // 2) / leaves, 0, None
+    weights = Counter()
+    for r in rows:
+        weights[keys[r][axis]] += size[r]
+    for key, s in sorted(weights.items()):
+        if before + s > want or key == max(weights):
+            cut = key + 1 if want - before > before + s - want else key
+            break
+        before += s
+    left = {r: keys[r] for r in rows if keys[r][axis] < cut}
+    right = {r: keys[r] for r in rows if keys[r][axis] >= cut}
+    return _plain_shard(left, size, leaves // 2, first) | _plain_shard(right, size, leaves - leaves // 2, first + leaves // 2)
+
+
+def test_tree_equals_plain_cuts(spark):
+    frame = spark.range(700).selectExpr(
+        "id", "10 + (id * id) % 91 AS size", "concat('host-', (id * 7) % 13) AS a", "IF(id % 9 = 0, null, double(id % 50)) AS b")
+    numbered = stage(sharding.number_texts(frame, ["a"]), "numbered")
+    names = sorted({f"host-{i * 7 % 13}" for i in range(700)})
+    assert {(r.id, r.a) for r in numbered.collect()} == {(i, names.index(f"host-{i * 7 % 13}")) for i in range(700)}
+    for shards in (5,):
+        tree = sharding.fit_tree(numbered, "size", shards, ["a", "b"], ["id"], tolerance=0.0)
+        out = numbered.select("id", "size", tree.keys().alias("k")).select("id", "size", "k", tree.shard(F.col("k")).alias("shard")).collect()
+        assert {r.id: r.shard for r in out} == _plain_shard({r.id: list(r.k) for r in out}, {r.id: r["size"] for r in out}, shards)
