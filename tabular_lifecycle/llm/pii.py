@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import unicodedata
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -176,13 +177,18 @@ def _family(stream: Column, attempt: Column, syllables) -> Column:
         F.sequence(F.lit(0), attempt + 2), lambda i: _choice(syllables, _byte(stream, i + 1))), "")
 
 
+# Rounds in which an email keeps its length; each later one adds a letter, so that crowded shapes find room.
+_SHORT_ROUNDS = 4
+
+
 def _surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     seed = F.concat_ws("|", F.lit(key), kind, attempt, canon)
     stream = F.concat(F.sha2(seed, 256), F.sha2(F.concat(seed, F.lit("|more")), 256))
+    longer = F.left(F.translate(F.md5(F.concat(seed, F.lit("|longer"))), "0123456789", "ghijklmnop"), attempt - _SHORT_ROUNDS + 1)
 
     def made(s):
         tail = F.regexp_extract(canon, r"\.\p{L}+$", 0)
-        email = F.concat(_alike(F.substr(canon, F.lit(1), F.length(canon) - F.length(tail)), s), tail)
+        email = F.concat(longer, _alike(F.substr(canon, F.lit(1), F.length(canon) - F.length(tail)), s), tail)
         octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.pmod(_byte(s, i), F.lit(254)) + 1).cast("string")), ".")
         card = F.concat(F.left(canon, F.lit(1)), _alike(F.substr(canon, F.lit(2), F.length(canon) - 2), s))
         check = F.concat(card, F.pmod(-_luhn(F.concat(card, F.lit("0"))), F.lit(10)).cast("string"))
@@ -228,35 +234,37 @@ def _written(kind: Column, mention: Column, surrogate: Column) -> Column:
             .when(kind == "phone", phone).when(kind == "iban", fill("[A-Z0-9]")).otherwise(fill("[0-9]")))
 
 
-def surrogates(entities: DataFrame, key: str, max_rounds: int = 20) -> DataFrame:
+def surrogates(entities: DataFrame, key: str, max_rounds: int = 60) -> DataFrame:
     """One surrogate for each distinct (kind, canon), none of them given twice or equal to an entity of the corpus.
 
     Every entity draws by its keyed hash. Draws that meet (of those that meet, the smallest entity keeps it) or
-    that name a real entity draw again. Rounds are written tables; few entities need a second one.
+    that name a real entity draw again. Rounds are written tables; few entities need a second one. Names and emails
+    grow with the rounds, so they always find room. Only where ``max_rounds`` rounds in a row give nobody a surrogate
+    (digits of a fixed length, all of them taken) is the corpus refused.
     """
     spark = entities.sparkSession
     real = stage(entities.distinct(), "entities")
-    waiting, done = real.withColumn("attempt", F.lit(0)), []
-    for _ in range(max_rounds):
+    waiting, done, idle = real.withColumn("attempt", F.lit(0)), [], 0
+    while idle < max_rounds:
         drawn = stage(waiting.withColumn("surrogate", _surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key)), "draws")
         clash = drawn.alias("x").join(real.alias("y"), F.expr("x.kind = y.kind AND x.surrogate = y.canon"), "left").select(
             "x.*", F.col("y.canon").isNotNull().alias("bad"))
-        for table in done:
-            old = table.select(F.col("kind").alias("k"), F.col("surrogate").alias("s"))
+        if done:
+            old = reduce(DataFrame.union, done).select(F.col("kind").alias("k"), F.col("surrogate").alias("s"))
             clash = clash.join(old, F.expr("kind = k AND surrogate = s"), "left").withColumn("bad", F.col("bad") | F.col("s").isNotNull()).drop("k", "s")
         first = clash.where("NOT bad").groupBy("kind", "surrogate").agg(F.min("canon").alias("winner"))
         judged = stage(clash.join(first, ["kind", "surrogate"], "left").withColumn(
             "won", ~F.col("bad") & F.coalesce(F.col("winner") == F.col("canon"), F.lit(False))), "draws")
-        done.append(judged.where("won").select("kind", "canon", "surrogate"))
+        won = judged.where("won").select("kind", "canon", "surrogate")
+        idle = idle + 1 if won.isEmpty() else 0
+        if not idle:
+            done.append(won)
         waiting = judged.where("NOT won").select("kind", "canon", (F.col("attempt") + 1).alias("attempt"))
         if waiting.isEmpty():
             break
     else:
-        raise ValueError(f"entities without a surrogate after {max_rounds} rounds")
-    out = done[0]
-    for table in done[1:]:
-        out = out.union(table)
-    return out if done else spark.createDataFrame([], "kind string, canon string, surrogate string")
+        raise ValueError(f"entities without a surrogate: none was free in {max_rounds} rounds")
+    return reduce(DataFrame.union, done) if done else spark.createDataFrame([], "kind string, canon string, surrogate string")
 
 
 def replace_pii(docs: DataFrame, key: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter
 
 import brute
@@ -256,6 +257,18 @@ def test_surrogates_stay_distinct(spark):
     assert not {r.surrogate for r in out} & {r.canon for r in out}
 
 
+def test_surrogates_of_a_crowded_shape(spark):
+    """500 of the 676 addresses a@b.com are real, so not all surrogates can keep the shape."""
+    entities = spark.range(500).selectExpr("'email' AS kind", "concat(char(97 + id div 26), '@', char(97 + id % 26), '.com') AS canon")
+    out = pii.surrogates(entities, "k").collect()
+    assert len(out) == 500 == len({r.surrogate for r in out})
+    assert not {r.surrogate for r in out} & {r.canon for r in out}
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.com", r.surrogate) for r in out)
+    assert sum(len(r.surrogate) == 7 for r in out) > 100
+    with pytest.raises(ValueError):
+        pii.surrogates(spark.range(10).selectExpr("'ssn' AS kind", "string(id) AS canon"), "k", max_rounds=3)
+
+
 def test_bpe_equals_the_library(docs, rows, no_docs):
     from tokenizers import Tokenizer
 
