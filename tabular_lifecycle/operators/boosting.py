@@ -142,6 +142,18 @@ class BoostedModel:
         kept = [F.col(c) for c in df.columns if c not in ("probability", "predicted")]
         return made.select(*kept, F.col("__chance").alias("probability"), (F.col("__chance") > 0.5).alias("predicted"))
 
+    def turns(self) -> Column:
+        """For every place (tree times 2^(depth + 1), plus node), whether a row would go left in it; nothing in leaves."""
+        count = 1 + max((n.tree for n in self.nodes), default=0)
+        trees = _Trees(self.nodes, 0, count, self.depth, len(self.numeric))
+        # The inner lambda reads a variable, so the row's values are gathered once and not once a place.
+        row = F.struct(_array([_number(c) for c in self.numeric], "double").alias("numbers"),
+                       _array([F.col(c).cast("string") for c in self.categorical], "string").alias("texts"))
+        places = _ints(range(count * trees.width))
+        made = F.transform(F.array(row), lambda held: F.transform(places, lambda place: trees.child(
+            held["numbers"], held["texts"], place % trees.width, F.floor(place / trees.width).cast("int")) % 2 == 0))
+        return F.get(made, F.lit(0))
+
     def table(self, spark: SparkSession) -> DataFrame:
         """One row for each node of each tree."""
         return literal_table(spark, [tuple(vars(n).values()) for n in self.nodes], _NODES_DDL)
