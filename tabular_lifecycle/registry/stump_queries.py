@@ -113,6 +113,10 @@ def single_cut_scores(spark, sf_dir):
     return scored.select("row_key", LABEL, rounded(F.col("probability")).alias("probability"), "predicted")
 
 
+def _candidates():
+    return [("tree", _stump(), {"cut": "cut"}), ("tree", _stump(minInfoGain=1.0), {"cut": "none"})]
+
+
 @query("i5_single_cut_search", fx.with_ctes(_SPLIT + ", s AS (" + _scored("even", "stump_validation", "cut") + f"""
 UNION ALL SELECT 'none', row_key, income, base, base > 0.5 FROM stump_validation, even), {_metrics('s')}
 SELECT 'search' AS experiment_id, dataset AS params_cut, {', '.join(f'round({m}, 4) AS val_{m}' for m in METRICS)},
@@ -121,8 +125,7 @@ def single_cut_search(spark, sf_dir):
     """A tree with a cut, one that may not cut, and which of them the search returns; classes are even."""
     train, validation = split_training(spark, sf_dir)
     train = undersample(train, LABEL, fx.KEYS, fx.UNDERSAMPLE_SEED)
-    candidates = [("tree", _stump(), {"cut": "cut"}), ("tree", _stump(minInfoGain=1.0), {"cut": "none"})]
-    log, best = models.search_models(train, validation, INPUTS, "search", candidates, budget_seconds=float("inf"))
+    log, best = models.search_models(train, validation, INPUTS, "search", _candidates(), budget_seconds=float("inf"))
     chosen = "cut" if best.stages[-1].numNodes == 3 else "none"
     wide = log.select("run_id", F.col("params")["cut"].alias("params_cut")).join(
         runs.refine_runs(log.withColumn("params", F.map_filter("params", lambda k, v: F.lit(False)))), "run_id")
@@ -130,6 +133,32 @@ def single_cut_search(spark, sf_dir):
                        (F.col("params_cut") == chosen).alias("best"))
 
 
+def _rung(model: str, share: float) -> str:
+    return _scored(model, "stump_validation", f"{share} cut") + f"""
+UNION ALL SELECT '{share} none', row_key, income, base, base > 0.5 FROM stump_validation, {model}"""
+
+
+# The quarter is drawn by the same hash as the rung's rows, and fitted and measured as the whole is.
+_HALVING = _SPLIT + f"""
+, quarter_rows AS (SELECT * FROM balanced WHERE substr(md5('{models.SPLIT_SEED}|' || row_key), 1, 8) < '{2**30:08x}')
+, {_fit('quarter', 'quarter_rows')}
+, s AS ({_rung('quarter', 0.25)} UNION ALL {_rung('even', 1.0)}), {_metrics('s')}
+, trials AS (SELECT split_part(dataset, ' ', 1) AS params_share, split_part(dataset, ' ', 2) AS params_cut, * FROM stump_metrics)
+SELECT 'search' AS experiment_id, params_share, params_cut, {', '.join(f'round({m}, 4) AS val_{m}' for m in METRICS)} FROM trials
+WHERE params_share = '0.25' OR params_cut = (
+  SELECT params_cut FROM trials WHERE params_share = '0.25' ORDER BY f1_score DESC, params_cut LIMIT 1)"""
+
+
+@query("i5_halving_search", fx.with_ctes(_HALVING, "training"))
+def halving_search(spark, sf_dir):
+    """Both candidates on a quarter of the rows, the better one on all; classes are even."""
+    train, validation = split_training(spark, sf_dir)
+    train = undersample(train, LABEL, fx.KEYS, fx.UNDERSAMPLE_SEED)
+    log, _ = models.halving_search(train, validation, INPUTS, "search", _candidates(), shares=(0.25, 1.0), budget_seconds=float("inf"))
+    params = [F.col("params")[name].alias(f"params_{name}") for name in ("share", "cut")]
+    return log.select("experiment_id", *params, *[rounded(F.col("metrics")[f"val_{m}"], 4).alias(f"val_{m}") for m in METRICS])
+
+
 @query("k5_single_cut_history", fx.with_ctes(_SPLIT + ", s AS (" + " UNION ALL ".join(
     _scored("even", rows, name) for rows, name in (("stump_validation", fx.TRAINING), ("inference", fx.INFERENCE), ("modified", fx.MODIFIED))
 ) + f"), {_metrics('s')} SELECT {_ROUNDED}, dataset FROM stump_metrics", "training", "inference", "modified"))

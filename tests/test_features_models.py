@@ -171,6 +171,34 @@ def test_search_keeps_to_its_budget(spark):
     assert models.score(best, df).count() == 300
 
 
+def test_halving_search_drops_and_grows(spark):
+    df = people(spark)
+    tree = lambda **o: DecisionTreeClassifier(featuresCol="features", labelCol="target", seed=1, **o)
+    candidates = [("flat", tree(maxDepth=0), {}), ("deep", tree(maxDepth=4), {}), ("stump", tree(maxDepth=1), {}), ("flat", tree(maxDepth=0), {"again": "1"})]
+    log, best = models.halving_search(df, df, INPUTS, "exp", candidates, shares=(0.25, 0.5, 1.0), budget_seconds=float("inf"))
+    full, winner = models.search_models(df, df, INPUTS, "exp", candidates, budget_seconds=float("inf"))
+    assert best.stages[-1].toDebugString.split("\n", 1)[1] == winner.stages[-1].toDebugString.split("\n", 1)[1]
+    rungs = [(r["params"]["share"], r["params"]["model"]) for r in log.collect()]
+    assert [sum(share == s for s, _ in rungs) for share in ("0.25", "0.5", "1.0")] == [4, 2, 1]
+    assert rungs[-1] == ("1.0", "deep") and full.count() == 4
+    short, _ = models.halving_search(df, df, INPUTS, "exp", candidates, budget_seconds=0)
+    assert short.count() == 1
+    with pytest.raises(ValueError):
+        models.halving_search(df, df, INPUTS, "exp", candidates, shares=(0.5, 0.25))
+
+
+def test_search_by_loss_and_without_the_metric(spark):
+    df = people(spark, 300)
+    tree = lambda depth: DecisionTreeClassifier(featuresCol="features", labelCol="target", maxDepth=depth, seed=1)
+    candidates = [("flat", tree(0), {}), ("deep", tree(4), {})]
+    log, best = models.search_models(df, df, INPUTS, "exp", candidates, budget_seconds=float("inf"), primary_metric="log_loss")
+    losses = {r["params"]["model"]: r["metrics"]["val_log_loss"] for r in log.collect()}
+    assert losses["deep"] < losses["flat"] and best.stages[-1].depth > 0
+    one_class = df.filter(F.col("income") == df.first()["income"])
+    log, best = models.search_models(df, one_class, INPUTS, "exp", candidates, budget_seconds=float("inf"), primary_metric="roc_auc_score")
+    assert log.count() == 2 and best.stages[-1].depth == 0
+
+
 def rule(df):
     odds = F.col("a") * 0.5 - F.col("b") + F.when(F.col("c") == "x", F.col("a")).otherwise(0.0)
     return df.withColumn("probability", 1 / (1 + F.exp(-odds)))
