@@ -239,3 +239,12 @@ def test_shapley_with_a_spread_background_and_equal_keys(spark):
     apart = [r for e in examples for r in shapley_values(spark.createDataFrame([e], schema), background, names, ["key"], rule).collect()]
     near = lambda rows: sorted((r["feature"], round(r["value"], 9)) for r in rows)
     assert near(both) == near(apart) and len(both) == 6
+
+
+def test_rows_of_a_fit_are_dealt_evenly(spark):
+    rows = spark.range(0, 4000, 1, 1).select((F.col("id") % 2).cast("double").alias("target"), "id")
+    dealt = models.spread(rows, ["target", "id"], rows_per_task=250)
+    held = [len(part) for part in dealt.rdd.glom().collect()]
+    assert len(held) == 16 and max(held) <= 300 and sum(held) == 4000
+    assert sorted(r.id for r in dealt.collect()) == list(range(4000))
+    assert models.spread(rows, ["id"], rows_per_task=4000).rdd.getNumPartitions() == 1
