@@ -12,7 +12,7 @@ from ..plans.prepare import LABEL, prepare
 from ..runtime import fresh_path, rounded, stage
 from . import fixtures as fx
 from .book import query
-from .model_queries import INPUTS, _rule_metrics, rounded_metrics, split_training
+from .model_queries import INPUTS, _rule_metrics, inference_sides, rounded_metrics, split_training
 
 _COLUMNS = drift.DRIFT_COLUMNS
 
@@ -97,8 +97,8 @@ def metric_drift_of_model(spark, sf_dir):
     train, validation = split_training(spark, sf_dir)
     model = models.fit_stages(train, INPUTS)
     columns = [*fx.KEYS, LABEL, *INPUTS.columns]
-    parts = ((validation, fx.TRAINING), (fx.inference(spark, sf_dir), fx.INFERENCE),
-             (fx.modified(spark, sf_dir), fx.MODIFIED))
+    new, changed = inference_sides(spark, sf_dir)
+    parts = ((validation, fx.TRAINING), (new, fx.INFERENCE), (changed, fx.MODIFIED))
     tables = [
         metric_table(models.evaluate(models.score(model, rows.select(*columns, F.lit(name).alias("dataset"))), INPUTS))
         for rows, name in parts
