@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import literal_table
+from ..runtime import literal_table, stage
 from .ordered import ROWS_PER_BUCKET, distinct_ranks, exact_quantiles, measure, present
 from .relational import numeric_columns
 
@@ -252,7 +252,7 @@ def associations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     table = df.select(*_as_text(columns)).select(F.inline(F.array(*cells_of)))
     table = table.filter(F.col("a").isNotNull() & F.col("b").isNotNull())
     # From here on the rows are contingency cells.
-    table = table.groupBy("pair", "a", "b").agg(F.count("*").cast("double").alias("n"))
+    table = stage(table.groupBy("pair", "a", "b").agg(F.count("*").cast("double").alias("n")), "cells")
     row_sums = table.groupBy("pair", "a").agg(F.sum("n").alias("row_sum"))
     column_sums = table.groupBy("pair", "b").agg(F.sum("n").alias("column_sum"))
     shape = row_sums.groupBy("pair").agg(
