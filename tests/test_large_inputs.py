@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tabular_lifecycle.registry import model_queries
+from tabular_lifecycle.operators import features, profile
+from tabular_lifecycle.registry import model_queries, stump_queries
 
 
 def _row(spark, columns, numbers=()):
@@ -16,3 +17,30 @@ def test_inference_and_its_perturbed_copy_come_from_one_writing(spark, monkeypat
     new, changed = model_queries.inference_sides(spark, "nowhere")
     assert len(calls) == 1 and new.inputFiles() == changed.inputFiles() and new.inputFiles()
     assert 0 <= changed.first()["fnlwgt"] - new.first()["fnlwgt"] <= 20
+
+
+def test_standardized_one_hot_is_one_test_a_column(spark, capsys):
+    rows = spark.createDataFrame([("x",), ("y",), (None,)], "c string")
+    made = features.standardize(features.one_hot(rows, {"c": ["x", "y"]}), {"c_x": (0.25, 0.5), "c_y": (0.5, 0.25)})
+    assert [tuple(r) for r in made.select("c_x", "c_y").collect()] == [(1.5, -2.0), (-0.5, 2.0), (-0.5, -2.0)]
+    made.select("c_x", "c_y").explain()
+    plan = capsys.readouterr().out
+    assert " / " not in plan and "0.25" not in plan
+
+
+def test_contingency_cells_are_counted_once(spark, capsys):
+    rows = spark.createDataFrame([("a", "p"), ("b", "q"), ("a", "p")], "x string, y string")
+    found = profile.associations(rows, ["x", "y"])
+    found.explain()
+    assert "Generate" not in capsys.readouterr().out
+    assert abs(found.first()["cramers_v"] - 1.0) < 1e-9
+
+
+def test_model_attribution_splits_once(spark, monkeypatch):
+    calls, rows = [], _row(spark, ["row_key", *stump_queries.SUPPORTED])
+    monkeypatch.setattr(stump_queries, "split_training", lambda *a: calls.append(a) or (rows, rows))
+    monkeypatch.setattr(stump_queries.models, "fit_stages", lambda *a: None)
+    monkeypatch.setattr(stump_queries, "fixed_sample", lambda df, *a: df)
+    monkeypatch.setattr(stump_queries, "shapley_values", lambda *a, **k: rows.select(F.lit(0.0).alias("value")))
+    assert stump_queries.model_attribution(spark, "nowhere").first()["value"] == 0.0
+    assert len(calls) == 1
