@@ -23,8 +23,7 @@ def _baseline(spark, sf_dir):
 
 def _history(spark, sf_dir):
     """Baseline and perturbed reports from stored distributions: every side is counted once, both dates in one pass."""
-    clean = _stored(fx.training, spark, sf_dir)
-    new = stage(fx.inference(spark, sf_dir).select(*fx.KEYS, *_COLUMNS))
+    clean, new = fx.both_sides(spark, sf_dir, [*fx.KEYS, *_COLUMNS])
     changed = drift.perturb(new, fx.KEYS, seed=fx.NOISE_SEED)
     ladder = distributions.borders(clean, _COLUMNS)
     sides = [side.select(F.lit(name).alias("dataset"), *_COLUMNS) for side, name in ((clean, fx.TRAINING), (new, fx.INFERENCE), (changed, fx.MODIFIED))]

@@ -95,3 +95,10 @@ def test_monitor_queries(spark):
     drifted = monitor.metric_drift(metrics, "m", "i")
     assert rows(drifted) == [("2000", 0.75), ("2010", 0.5)]
     assert rows(monitor.metric_drift_chart(drifted)) == [("2000", 0.75), ("2010", 0.5)]
+
+
+def test_complete_rows_are_those_that_are_kept(spark):
+    rows = spark.createDataFrame([(1, 1.0, "a"), (2, float("nan"), "b"), (3, None, "c"), (4, 1.0, None), (None, 1.0, "e")],
+                                 "n int, x double, s string")
+    kept = rel.drop_incomplete(rows)
+    assert sorted(map(tuple, rows.filter(rel.complete(rows)).collect())) == sorted(map(tuple, kept.collect())) == [(1, 1.0, "a")]
