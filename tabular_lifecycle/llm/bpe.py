@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import Vocabulary, block_name, pack, table_blocks, unpack, word_hashes
+from .blocks import Vocabulary, block_name, give_back, pack, table_blocks, unpack, word_hashes
 from .common import fresh
 
 # Text for which a bucket of words is made; a block has about one distinct word for 40 bytes.
 BYTES_PER_BUCKET = 20 << 20
 _WORDS_AT_ONCE = 8192
 _PLACES_AT_ONCE = 1 << 18
+_TEXTS_AT_ONCE = 500
 _CLOSE_SPACES = re.compile(r"\s\s")
 _WORD_START = re.compile(r"(?<=\S)(?= \S)")
 
@@ -50,6 +51,25 @@ def units(text: str, specials: re.Pattern | None) -> list[str]:
     return out
 
 
+def number_words(texts: pa.ChunkedArray, specials: re.Pattern | None, places: bool = True) -> tuple[list[bytes], pa.Array, int]:
+    """Packed numbers of every text's units (not wanted for words alone), the distinct units in the order of their
+    numbers, and a digest of them.
+
+    Few texts at a time are Python's, and the words leave as one Arrow array: as objects they take ten times as much.
+    """
+    vocabulary, packed = Vocabulary(), []
+    for start in range(0, len(texts), _TEXTS_AT_ONCE):
+        for text in texts.slice(start, _TEXTS_AT_ONCE).to_pylist():
+            numbers = vocabulary.numbers(units(text, specials)) if text else None
+            if places:
+                packed.append(b"" if numbers is None else pack(numbers))
+    words = pa.array(vocabulary.words(), pa.large_string())
+    digest = xxhash.xxh3_64()
+    for buffer in words.buffers()[1:]:
+        digest.update(memoryview(buffer or b""))
+    return packed, words, digest.intdigest()
+
+
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     """Where the installed public tokenizers are; any tokenizer file of that form will do."""
     import public_tokenizers
@@ -124,35 +144,35 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     size = docs.agg(F.sum(F.octet_length(text)).alias("s")).first().s or 0
     buckets = max(1, math.ceil(size / BYTES_PER_BUCKET))
 
-    def numbered(batches):
-        for sequence, block in enumerate(table_blocks(batches, text)):
-            vocabulary_ = Vocabulary()
-            places = [pack(vocabulary_.numbers(units(x, specials))) if x else b"" for x in block.column(text).to_pylist()]
-            words = vocabulary_.words()
-            yield block_name(sequence, xxhash.xxh3_64_intdigest("\0".join(words).encode())), block, places, words
-
     def as_numbers(batches):
-        for name, block, places, _ in numbered(batches):
-            out = block.drop_columns([text]).append_column(b, pa.array([name] * len(block), pa.string()))
+        for sequence, block in enumerate(table_blocks(batches, text)):
+            places, _, digest = number_words(block.column(text), specials)
+            out = block.drop_columns([text]).append_column(b, pa.array([block_name(sequence, digest)] * len(block), pa.string()))
             yield from out.append_column(p, pa.array(places, pa.binary())).to_batches(max_chunksize=2000)
+            del block, out, places
+            give_back()
 
     def as_words(batches):
-        for name, _, _, words in numbered(batches):
-            if not words:
-                continue
-            coded = [w.encode() for w in words]
-            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-            bucket = (word_hashes(coded) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        for sequence, block in enumerate(table_blocks(batches, text)):
+            _, words, digest = number_words(block.column(text), specials, places=False)
+            name = block_name(sequence, digest)
+            del block
+            lengths = np.diff(np.asarray(words.buffers()[1]).view(np.int64)[:len(words) + 1]) if len(words) else np.zeros(0, np.int64)
+            hashes = [word_hashes(words.slice(i, _WORDS_AT_ONCE).cast(pa.large_binary()).to_pylist()) for i in range(0, len(words), _WORDS_AT_ONCE)]
+            bucket = (np.concatenate([np.zeros(0, np.uint64), *hashes]) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
             for i in np.flatnonzero(np.diff(cuts)):
                 at = order[cuts[i]:cuts[i + 1]]
-                chars = pa.compress(b"".join(map(coded.__getitem__, at.tolist())), codec="zstd", asbytes=True)
+                chars = pa.compress(words.take(pa.array(at)).buffers()[2].slice(0, int(lengths[at].sum())), codec="zstd", asbytes=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([i], pa.int32()), pa.array([name]), pa.array([pack(at)]), pa.array([pack(lengths[at])]), pa.array([chars])],
                     names=["bucket", "block", "at", "lengths", "chars"])
+            del words, lengths, hashes, bucket, order
+            give_back()
 
     def encoded(group: pa.Table) -> pa.Table:
+        give_back()
         lengths = [unpack(x) for x in group.column("lengths").to_pylist()]
         chars = [pa.decompress(c, decompressed_size=int(n.sum()), codec="zstd", asbytes=True)
                  for c, n in zip(group.column("chars").to_pylist(), lengths)]
@@ -178,6 +198,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     def placed(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
             raise ValueError("the two passes over the documents differ; stage the input first")
+        give_back()
         parts = lambda name: [np.zeros(0, np.uint32), *map(unpack, right.column(name).to_pylist())]
         order = np.argsort(np.concatenate(parts("at")))
         counts, flat = np.concatenate(parts("counts")), np.concatenate(parts("ids")).astype(np.int32)
@@ -219,21 +240,25 @@ def decode(tokens: DataFrame, vocabulary: str, ids: str = "ids", text: str = "te
     fields = [*[tokens.schema[c] for c in keep], T.StructField(text, T.StringType())]
     fields += [T.StructField(digest, T.StringType())] if digest else []
 
+    def decoded(part: pa.RecordBatch, by_id: pa.Array) -> pa.RecordBatch:
+        lists = part.column(ids).fill_null([])
+        flat, bounds = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        joined = by_id.take(flat)
+        at = np.frombuffer(joined.buffers()[1], np.int64)[:len(flat) + 1][bounds] if len(flat) else bounds * 0
+        data = joined.buffers()[2].to_pybytes() if len(flat) else b""
+        texts = [data[x:y].decode("utf-8", "replace") for x, y in zip(at, at[1:])]
+        arrays = [part.column(c) for c in keep] + [pa.array(texts, pa.string())]
+        if digest:
+            numbers = np.asarray(flat, dtype="<u4")
+            arrays.append(pa.array([sha256(numbers[x:y].tobytes()).hexdigest() for x, y in zip(bounds, bounds[1:])], pa.string()))
+        return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
+
     def run(batches):
         by_id = pa.array(table, pa.large_binary())
         for batch in batches:
             for start in range(0, len(batch), 1000):
-                part = batch.slice(start, 1000)
-                lists = part.column(ids).fill_null([])
-                flat, bounds = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-                joined = by_id.take(flat)
-                at = np.frombuffer(joined.buffers()[1], np.int64)[:len(flat) + 1][bounds] if len(flat) else bounds * 0
-                data = joined.buffers()[2].to_pybytes() if len(flat) else b""
-                texts = [data[x:y].decode("utf-8", "replace") for x, y in zip(at, at[1:])]
-                arrays = [part.column(c) for c in keep] + [pa.array(texts, pa.string())]
-                if digest:
-                    numbers = np.asarray(flat, dtype="<u4")
-                    arrays.append(pa.array([sha256(numbers[x:y].tobytes()).hexdigest() for x, y in zip(bounds, bounds[1:])], pa.string()))
-                yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
+                yield decoded(batch.slice(start, 1000), by_id)
+            del batch
+            give_back()
 
     return tokens.select(*keep).mapInArrow(run, T.StructType(fields))
