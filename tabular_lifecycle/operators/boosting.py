@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from .models import BOOSTING, SPLIT_SEED
 _GAIN_DIGITS = 9
 # Rounds between two writings of the rows' margins; in between they are expressions over the trees.
 _ROUNDS_TO_STAGE = 5
+# Up to so many cuts of a column are compared one by one; more are a loop over an array, which is slow for each row.
+_PLAIN_CUTS = 16
 _NODES_DDL = ("tree int, node int, column int, cut double, value string, missing_left boolean, "
               "leaf double, gain double, cover double")
 _INPUTS_DDL = "numeric array<string>, categorical array<string>, depth int, base double"
@@ -71,6 +74,11 @@ def _drawn(text: Column, share: float) -> Column:
     return F.lit(True) if limit is None else F.substring(F.md5(text), 1, 8) < F.lit(limit)
 
 
+def _is_drawn(text: str, share: float) -> bool:
+    limit = share_limit(share)
+    return limit is None or md5(text.encode()).hexdigest()[:8] < limit
+
+
 def _number(column: str) -> Column:
     value = F.col(column).cast("double")
     return F.when(~F.isnan(value), value)
@@ -142,6 +150,13 @@ class BoostedModel:
         kept = [F.col(c) for c in df.columns if c not in ("probability", "predicted")]
         return made.select(*kept, F.col("__chance").alias("probability"), (F.col("__chance") > 0.5).alias("predicted"))
 
+    def turn(self, node: Node) -> Column:
+        """Whether a row goes left in a node that cuts."""
+        if node.column < len(self.numeric):
+            return F.coalesce(_number(self.numeric[node.column]) <= F.lit(node.cut), F.lit(node.missing_left))
+        text = F.col(self.categorical[node.column - len(self.numeric)]).cast("string")
+        return F.coalesce(text == F.lit(node.value), F.lit(False))
+
     def turns(self) -> Column:
         """For every place (tree times 2^(depth + 1), plus node), whether a row would go left in it; nothing in leaves."""
         count = 1 + max((n.tree for n in self.nodes), default=0)
@@ -186,6 +201,8 @@ def _bin(column: str, cuts: Sequence[float]) -> Column:
     """How many cuts lie below the number; NULL where it is missing."""
     if not cuts:
         return F.when(_number(column).isNotNull(), 0)
+    if len(cuts) <= _PLAIN_CUTS:
+        return F.when(_number(column).isNotNull(), sum((F.when(F.lit(c) < _number(column), 1).otherwise(0) for c in cuts), F.lit(0)))
     return F.when(_number(column).isNotNull(), F.size(F.filter(_doubles(cuts), lambda c: c < _number(column))))
 
 
@@ -193,14 +210,22 @@ def _best_cuts(rows: DataFrame, totals: Mapping[int, tuple], numeric: Sequence[s
                settings: Settings, tree: int) -> list:
     """The best cut of each open node, from rows with ``node``, ``g``, ``h``, ``bins`` and ``texts``."""
     name = f"{settings.seed}|{tree}|"
-    drawn = [_drawn(F.lit(name + c), settings.column_share) for c in numeric]
-    no_bin, no_text = F.lit(None).cast("int"), F.lit(None).cast("string")
-    cells = [F.struct(F.lit(i).alias("column"), F.get("bins", F.lit(i)).alias("bin"), no_text.alias("value"))
-             for i in range(len(numeric))]
-    cells += [F.struct(F.lit(len(numeric) + i).alias("column"), no_bin.alias("bin"), F.get("texts", F.lit(i)).alias("value"))
-              for i in range(len(categorical))]
-    sums = rows.select("node", "g", "h", F.inline(F.array(*cells))).groupBy("node", "column", "bin", "value").agg(
+    # Keys of a sum are never NULL: Spark's fast map for few groups takes no others. Odd cells hold what is missing, and
+    # numbers that the tree did not draw are not summed.
+    def cell(column: int, value: Column, bin_: Column, text: Column) -> Column:
+        return F.struct(F.when(value.isNull(), 2 * column + 1).otherwise(2 * column).alias("cell"),
+                        F.coalesce(bin_, F.lit(0)).alias("bin"), F.coalesce(text, F.lit("")).alias("value"))
+
+    kept = [i for i, c in enumerate(numeric) if _is_drawn(name + c, settings.column_share)]
+    cells = [cell(i, F.get("bins", F.lit(i)), F.get("bins", F.lit(i)), F.lit("")) for i in kept]
+    cells += [cell(len(numeric) + i, F.get("texts", F.lit(i)), F.lit(0), F.get("texts", F.lit(i))) for i in range(len(categorical))]
+    if not cells:
+        return []
+    sums = rows.select("node", "g", "h", F.inline(F.array(*cells))).groupBy("node", "cell", "bin", "value").agg(
         F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("n"))
+    column, there = F.shiftright("cell", 1), F.col("cell").bitwiseAND(1) == 0
+    sums = sums.select("node", column.alias("column"), F.when(there & (column < len(numeric)), F.col("bin")).alias("bin"),
+                       F.when(there & (column >= len(numeric)), F.col("value")).alias("value"), "g", "h", "n")
 
     # A category is a part of its own, so no part is longer than the bins of a column.
     part = Window.partitionBy("node", "column", "value")
@@ -210,7 +235,7 @@ def _best_cuts(rows: DataFrame, totals: Mapping[int, tuple], numeric: Sequence[s
     sums = sums.withColumns({f"{x}_missing": missing[x] for x in "ghn"} | {f"{x}_left": F.sum(x).over(up_to) for x in "ghn"})
     names = F.array(*[F.lit(name + c) for c in (*numeric, *categorical)])
     chosen = _drawn(F.when(is_number, F.get(names, F.col("column"))).otherwise(
-        F.concat(F.get(names, F.col("column")), F.lit("="), F.col("value"))), settings.column_share) if drawn or categorical else F.lit(True)
+        F.concat(F.get(names, F.col("column")), F.lit("="), F.col("value"))), settings.column_share)
     open_cells = sums.filter((known | F.col("value").isNotNull()) & chosen)
     with_side = open_cells.withColumn("missing_left", F.explode(
         F.when(F.col("n_missing") > 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))

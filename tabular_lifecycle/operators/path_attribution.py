@@ -1,7 +1,7 @@
 """Exact Shapley values of boosted trees from their paths, without 2^m subsets and without a row of examples x background.
 
 Of a leaf only one thing about a row matters: which of the path's columns it fits. The background is therefore counted
-by (leaf, columns fitted), at most leaves x 2^depth counts however many rows it has, and so are the examples. Where an
+by its turns in a few cuts at a time (at most 2^12 or 2^depth counts for a group of leaves), and from these counts by (leaf, columns fitted), at most leaves x 2^depth counts however many rows it has, and so are the examples. Where an
 example fits the columns A that a background row does not, and the background row the columns B that the example does
 not, and every other column of the path is fitted by both, the leaf is reached by exactly the subsets that hold A and
 nothing of B; its share for each column has a closed form in the sizes of A and B.
@@ -20,6 +20,11 @@ from pyspark.sql import functions as F
 from ..runtime import literal_table, stage
 from .boosting import BoostedModel
 
+# Leaves whose paths hold no more cuts than this are looked at together.
+_CUTS_AT_ONCE = 12
+# Up to so many cuts in all are expressions of their own; more are a loop over arrays, which is slow for each row.
+_PLAIN_CUTS = 64
+
 
 @dataclass(frozen=True)
 class LeafPath:
@@ -51,17 +56,48 @@ def leaf_paths(model: BoostedModel) -> list[LeafPath]:
     return paths
 
 
-def _fitted(model: BoostedModel, paths: Sequence[LeafPath]) -> Column:
-    """For each path, the bits of its columns all of whose conditions the row meets."""
-    told = [{"all": 2 ** len(p.columns) - 1,
-             "steps": [{"place": place, "left": left, "bit": 1 << bit} for place, left, bit in p.steps]} for p in paths]
-    table = F.from_json(F.lit(json.dumps(told)), "array<struct<all: int, steps: array<struct<place: int, left: boolean, bit: int>>>>")
-
-    def one(turns: Column, path: Column) -> Column:
-        return F.aggregate(path["steps"], path["all"], lambda bits, step: F.when(
-            F.get(turns, step["place"]) == step["left"], bits).otherwise(bits.bitwiseAND(F.bitwise_not(step["bit"]))))
-
-    return F.get(F.transform(F.array(model.turns()), lambda turns: F.transform(table, lambda path: one(turns, path))), F.lit(0))
+def _groups(paths: Sequence[LeafPath]) -> list[tuple[list[int], list[int]]]:
+    """Places and leaves of every group: leaves in their order, as long as their paths hold few places in all."""
+    groups: list[tuple[list[int], list[int]]] = []
+    for leaf, path in enumerate(paths):
+        mine = [place for place, _, _ in path.steps]
+        if not groups or len({*groups[-1][0], *mine}) > _CUTS_AT_ONCE:
+            groups.append(([], []))
+        places, leaves = groups[-1]
+        places.extend([p for p in mine if p not in places])
+        leaves.append(leaf)
+    return groups
+
+
+def _turns(model: BoostedModel, groups: Sequence[tuple[list[int], list[int]]], plain_cuts: int = _PLAIN_CUTS) -> Column:
+    """For each group, a bit for every place of it in which the row goes left, the first place lowest."""
+    width = 2 ** (model.depth + 1)
+    nodes = {n.tree * width + n.node: n for n in model.nodes}
+    if len({p for places, _ in groups for p in places}) <= plain_cuts:
+        return F.array(*[sum((F.when(model.turn(nodes[p]), 1 << i).otherwise(0) for i, p in enumerate(places)), F.lit(0))
+                         for places, _ in groups]).cast("array<int>")
+    table = F.from_json(F.lit(json.dumps([places[::-1] for places, _ in groups])), "array<array<int>>")
+
+    def one(turns: Column, places: Column) -> Column:
+        return F.aggregate(places, F.lit(0), lambda bits, place: 2 * bits + F.when(F.get(turns, place), 1).otherwise(0))
+
+    return F.get(F.transform(F.array(model.turns()), lambda turns: F.transform(table, lambda places: one(turns, places))), F.lit(0))
+
+
+def _fitting(df: DataFrame, paths: Sequence[LeafPath], groups: Sequence[tuple[list[int], list[int]]], name: str) -> DataFrame:
+    """Rows with ``group`` and ``turns`` as one row for each ``leaf`` of the group, with the bits of those of its columns
+    all of whose conditions the turns meet."""
+    told = []
+    for g, (places, leaves) in enumerate(groups):
+        for leaf in leaves:
+            steps = [(1 << places.index(place), left, bit) for place, left, bit in paths[leaf].steps]
+            tests = [{"bit": 1 << i, "mask": sum(at for at, _, bit in steps if bit == i),
+                      "wanted": sum(at for at, left, bit in steps if bit == i and left)} for i in range(len(paths[leaf].columns))]
+            told.append((g, leaf, tests))
+    table = literal_table(df.sparkSession, told, "group int, leaf int, tests array<struct<bit: int, mask: int, wanted: int>>")
+    met = F.aggregate("tests", F.lit(0), lambda bits, test: F.when(
+        F.col("turns").bitwiseAND(test["mask"]) == test["wanted"], bits + test["bit"]).otherwise(bits))
+    return df.join(F.broadcast(table), "group").withColumn(name, met).drop("group", "turns", "tests")
 
 
 def _weights(most: int) -> tuple[Column, Column]:
@@ -93,13 +129,14 @@ def path_shapley(
         "__example", F.monotonically_increasing_id()), "examples")
     named = F.array(*[F.lit(f) for f in (*features, *silent)])
     nothing = held.select("__example", F.explode(named).alias("feature"), F.lit(0.0).alias("share"))
-    fitted = _fitted(model, paths)
-    counts = stage(background.select(F.posexplode(fitted).alias("leaf", "other")).groupBy("leaf", "other").agg(
-        F.count("*").alias("n")), "background-paths")
+    groups = _groups(paths)
+    turns = F.posexplode(_turns(model, groups)).alias("group", "turns")
+    kinds = background.select(turns).groupBy("group", "turns").agg(F.count("*").alias("n"))
+    counts = stage(_fitting(kinds, paths, groups, "other").groupBy("leaf", "other").agg(F.sum("n").alias("n")), "background-paths")
     total = counts.filter(F.col("leaf") == 0).agg(F.sum("n")).first()[0]
     if paths and not total:
         raise ValueError("attribution needs at least one background row")
-    own = stage(held.select("__example", F.posexplode(fitted).alias("leaf", "mine")), "example-paths")
+    own = stage(_fitting(held.select("__example", turns), paths, groups, "mine").select("__example", "leaf", "mine"), "example-paths")
 
     columns = [[{"bit": 1 << i, "feature": f} for i, f in enumerate(p.columns)] for p in paths]
     table = literal_table(spark, [(i, p.value, 2 ** len(p.columns) - 1, c) for i, (p, c) in enumerate(zip(paths, columns))],

@@ -116,3 +116,15 @@ def test_many_categories_need_no_dictionary(spark):
     df = spark.range(20000).selectExpr("string(id) k", "string(id) c", "id % 2 = 0 label")
     model = boosting.fit(df.union(df.filter("false")), F.col("label"), [], ["c"], ["k"], Settings(rounds=1, depth=1, min_child_weight=0.1, row_share=1.0))
     assert len(model.nodes) in (1, 3)
+
+
+def test_bins_are_the_same_one_by_one_and_in_a_loop(spark, monkeypatch):
+    df = spark.createDataFrame(made_rows(60), DDL)
+    bins = lambda: [tuple(r) for r in df.select("k", boosting._bin("a", [1.0, 2.5, 3.0]), boosting._bin("b", [0.0, 2.0])).collect()]
+    plain = bins()
+    monkeypatch.setattr(boosting, "_PLAIN_CUTS", 0)
+    assert sorted(bins(), key=str) == sorted(plain, key=str)
+    for k, a, b in plain:
+        row = next(r for r in made_rows(60) if r[0] == k)
+        assert a == (None if row[1] is None or row[1] != row[1] else sum(c < row[1] for c in (1.0, 2.5, 3.0)))
+        assert b == sum(c < row[2] for c in (0.0, 2.0))

@@ -74,3 +74,37 @@ def test_equal_keys_no_cuts_and_empty_tables(spark, model):
     assert path_shapley(twice.filter(F.lit(False)), df, model, ["k"]).count() == 0
     with pytest.raises(ValueError):
         path_shapley(twice, df.filter(F.lit(False)), model, ["k"])
+
+
+def test_background_rows_are_counted_by_turns_of_groups(spark, model):
+    """A row is one row a group of leaves and not one a leaf; the turns tell of every leaf which columns fit, in both forms."""
+    from tabular_lifecycle.operators import path_attribution as pa
+
+    paths = leaf_paths(model)
+    groups = pa._groups(paths)
+    assert [leaf for _, leaves in groups for leaf in leaves] == list(range(len(paths))) and 1 < len(groups) < len(paths) / 2
+    assert all(len(places) <= pa._CUTS_AT_ONCE for places, _ in groups)
+    rows = made_rows(30) + [("n", None, float("nan"), None, None), ("u", 7.0, 3.0, "unseen", None)]
+    df = spark.createDataFrame(rows, DDL)
+    nodes, width = {(n.tree, n.node): n for n in model.nodes}, 2 ** (model.depth + 1)
+
+    def left(row, place):
+        node = nodes[place // width, place % width]
+        value = row[1 + node.column]
+        if node.column == 2:
+            return value == node.value
+        return node.missing_left if value is None or value != value else value <= node.cut
+
+    wanted = sorted((row[0], leaf, sum(1 << i for i in range(len(p.columns)) if all(left(row, place) == side for place, side, bit in p.steps if bit == i)))
+                    for row in rows for leaf, p in enumerate(paths))
+    for plain_cuts in (0, 1000):
+        turned = df.select("k", F.posexplode(pa._turns(model, groups, plain_cuts)).alias("group", "turns"))
+        assert turned.count() == len(rows) * len(groups)
+        assert sorted(map(tuple, pa._fitting(turned, paths, groups, "mine").select("k", "leaf", "mine").collect())) == wanted
+
+
+def test_long_paths_are_groups_of_their_own():
+    from tabular_lifecycle.operators import path_attribution as pa
+
+    paths = [pa.LeafPath(0.0, tuple((i * 100 + j, True, 0) for j in range(20)), ("a",)) for i in range(3)]
+    assert [len(places) for places, _ in pa._groups(paths)] == [20, 20, 20]
