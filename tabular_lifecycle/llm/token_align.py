@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from hashlib import sha256
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..runtime import stage
-from .blocks import Vocabulary, block_name, mix, table_blocks
+from .blocks import Vocabulary, block_name, give_back, mix, table_blocks
 from .blocks import pack as pack_low
 from .blocks import unpack as unpack_low
 from .bpe import pieces as byte_level_pieces
@@ -28,6 +29,10 @@ BYTES_PER_BUCKET = 20 << 20
 # Ends of both sides that one piece of the merge takes.
 PIECE_WORK = 1 << 18
 _UNITS_AT_ONCE = 8192
+# Characters that are tokenized as one line, and that are aligned at once; a unit is never cut.
+_LINE_CHARS = 1 << 12
+_CHARS_AT_ONCE = 1 << 19
+_TEXTS_AT_ONCE = 500
 _PLACES_AT_ONCE = 1 << 18
 _WIDE_GROUP = 1 << 12
 _CLOSE_SPACES = re.compile(r"\s\s|^\s|\s\Z")
@@ -140,31 +145,46 @@ class Pair:
 
     def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A, their number by unit, ids of B, their number, and whether both spell the unit."""
-        a, b, a_counts, b_counts, good = [], [], [], [], []
+        none = np.zeros(0, np.int64)
+        made = [(none, none, none, none, none.astype(bool))]
         for start in range(0, len(units), _UNITS_AT_ONCE):
-            part = units[start:start + _UNITS_AT_ONCE]
-            mine = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            theirs = self.b.encode([u[1:] for u in part], num_threads=1)
-            good.append(self._spelled(part, mine, theirs))
-            for ids, counts, lists in ((a, a_counts, mine), (b, b_counts, theirs)):
-                counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
-                ids.append(np.fromiter(chain.from_iterable(lists), np.int64, int(counts[-1].sum())))
-        joined = lambda x: np.concatenate([np.zeros(0, np.int64), *x])
-        return joined(a), joined(a_counts), joined(b), joined(b_counts), np.concatenate([np.zeros(0, bool), *good])
-
-    def _spelled(self, units: list[str], mine: list[list[int]], theirs: list[list[int]]) -> np.ndarray:
-        """Which units both spell: all if they do as a whole and in length, else one by one."""
+            made += self._encode(units[start:start + _UNITS_AT_ONCE])
+        return tuple(map(np.concatenate, zip(*made)))
+
+    def _encode(self, units: list[str]) -> list[tuple]:
+        """``encode`` in parts. Units are tokenized in lines, which both tokenizers cut where the units meet; those of a line that
+        is not spelled, or has a token across two units, one by one."""
+        at = lines(units)
+        mine, theirs = self._tokens(["".join(units[i:j]) for i, j in zip(at, at[1:])])
+        if (whole := self._by_unit(units, mine, theirs)) is not None:
+            return [whole]
+        spelled = [self._by_unit(units[i:j], [x], [y]) for i, j, x, y in zip(at, at[1:], mine, theirs)]
+        odd = [u for i, j, line in zip(at, at[1:], spelled) if line is None for u in units[i:j]]
+        rest = zip(odd, *self._tokens(odd))
+        return [self._one_by_one(*zip(*islice(rest, j - i))) if line is None else line for i, j, line in zip(at, at[1:], spelled)]
+
+    def _one_by_one(self, units: list[str], mine: list[list[int]], theirs: list[list[int]]) -> tuple:
         spell = lambda ids, table: b"".join(map(table.__getitem__, ids))
-        plain = [u.encode() for u in units]
-        lengths = np.fromiter(map(len, plain), np.int64, len(plain))
-        alike = True
+        good = np.array([spell(x, self.a_bytes) == spell(y, self.b_bytes) == u.encode() for u, x, y in zip(units, mine, theirs)], bool)
+        flat = [(np.array(list(chain.from_iterable(ids)), np.int64), np.array(list(map(len, ids)))) for ids in (mine, theirs)]
+        return *flat[0], *flat[1], good
+
+    def _tokens(self, lines: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        return [e.ids for e in self.a.encode_batch_fast(lines, add_special_tokens=False)], self.b.encode([x[1:] for x in lines], num_threads=1)
+
+    def _by_unit(self, units: list[str], mine: list[list[int]], theirs: list[list[int]]) -> tuple | None:
+        """The lines' ids as ``encode`` has them, if both tokenizers spell the units and have a token's end where each ends."""
+        plain, out = [u.encode() for u in units], []
+        ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))
         for lists, table, sizes in ((mine, self.a_bytes, self.a_lengths), (theirs, self.b_bytes, self.b_lengths)):
-            flat = list(chain.from_iterable(lists))
-            ends = np.concatenate([[0], np.cumsum(sizes[flat])]) if flat else np.zeros(1, np.int64)
-            alike = alike and (ends[np.cumsum(list(map(len, lists)), dtype=np.int64)] == np.cumsum(lengths)).all() and spell(flat, table) == b"".join(plain)
-        if alike:
-            return np.ones(len(units), bool)
-        return np.array([spell(x, self.a_bytes) == spell(y, self.b_bytes) == u for u, x, y in zip(plain, mine, theirs)], bool)
+            ids = list(chain.from_iterable(lists))
+            flat = np.array(ids, np.int64)
+            token_ends = _bounds(sizes[flat])
+            at = np.searchsorted(token_ends, ends, "right") - 1
+            if (token_ends[at] != ends).any() or b"".join(map(table.__getitem__, ids)) != b"".join(plain):
+                return None
+            out += [flat, np.diff(at, prepend=0)]
+        return *out, np.ones(len(units), bool)
 
 
 def read_models(byte_vocabulary: str | None = None, piece_model: str | None = None) -> tuple[str, bytes]:
@@ -182,6 +202,25 @@ def units(text: str) -> list[str]:
     return [" " + word for word in text.split(" ")]
 
 
+def lines(units: list[str]) -> list[int]:
+    """Where lines of units begin, and the end. Only units that begin and end in no white space but their space share one:
+    joined, they meet at a single space between two words, where ``units`` cuts. One with a mark, which is spelled as a space, is a
+    line of its own."""
+    lengths = np.fromiter(map(len, units), np.int64, len(units))
+    alone = np.fromiter((len(u) < 2 or u[1].isspace() or u[-1].isspace() or _MARK in u for u in units), bool, len(units))
+    line = (np.cumsum(lengths) - lengths) // _LINE_CHARS
+    begins = alone | np.append(True, alone)[:-1] | (np.diff(line, prepend=-1) > 0)
+    return [*np.flatnonzero(begins).tolist(), len(units)]
+
+
+def portions(units: list[str]) -> Iterator[list[str]]:
+    """The units in their order, about ``_CHARS_AT_ONCE`` characters at a time (at least one unit; none give one empty portion)."""
+    at = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+    cuts = [0, *(np.flatnonzero(np.diff(at // _CHARS_AT_ONCE)) + 1).tolist(), len(units)]
+    for i, j in zip(cuts, cuts[1:]):
+        yield units[i:j]
+
+
 # --- one block of documents ------------------------------------------------------------------------------------------
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -210,34 +249,50 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Units:
     """The distinct units of a block, tokenized and aligned once: tokens, groups, links and the text of the groups.
 
-    All units stand one after the other, so their ends are two ascending lists, merged as one. A unit ends in both,
-    so no group reaches over two.
+    A portion of them at a time: its units stand one after the other, so their ends are two ascending lists, merged as one. A
+    unit ends in both, so no group reaches over two. Portions bound what is held besides the results.
     """
 
     def __init__(self, units: list[str], pair: Pair):
-        a, self.n_a, b, self.n_b, self.good = pair.encode(units)
+        self.texts, counts, links = [], [], []
+        for portion in portions(units):
+            counted, linked = self._align(portion, pair)
+            counts.append(counted)
+            links.append(linked)
+        self.good, self.n_a, self.n_b, self.n_groups, self.n_links, self.n_pairs = map(np.concatenate, zip(*counts))
+        pairs, link_pair, link_times = zip(*links)
+        self.pairs = np.unique(np.concatenate(pairs))
+        self.link_pair = np.concatenate([np.searchsorted(self.pairs, x).astype(np.int32)[n] for x, n in zip(pairs, link_pair)])
+        self.link_times = np.concatenate(link_times)
+
+    def _align(self, units: list[str], pair: Pair) -> tuple[tuple, tuple]:
+        """Numbers of every unit, and the portion's distinct pairs with their links by unit; texts go to ``texts``."""
+        a, n_a, b, n_b, good = pair.encode(units)
         # Units that a tokenizer does not spell have no alignment; no document that holds one does.
-        a, b = a[np.repeat(self.good, self.n_a)], b[np.repeat(self.good, self.n_b)]
-        self.n_a, self.n_b = self.n_a * self.good, self.n_b * self.good
+        a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+        n_a, n_b = n_a * good, n_b * good
         to_a, to_b = merge_groups(np.cumsum(pair.a_lengths[a]), np.cumsum(pair.b_lengths[b]))
         from_a, from_b = np.append(0, to_a)[:-1], np.append(0, to_b)[:-1]
-        unit = np.searchsorted(_bounds(self.n_a), from_a, "right") - 1
-        self.n_groups = np.bincount(unit, minlength=len(units))
+        unit = np.searchsorted(_bounds(n_a), from_a, "right") - 1
+        n_groups = np.bincount(unit, minlength=len(units))
         wide, high = to_a - from_a, to_b - from_b
-        self.n_links = np.zeros(len(units), np.int64)
-        np.add.at(self.n_links, unit, wide * high)
-        self.texts = self._texts(a, b, from_a, to_a, from_b, to_b, pair)
-        self._link(a, b, unit, from_a, wide, from_b, high)
+        n_links = np.zeros(len(units), np.int64)
+        np.add.at(n_links, unit, wide * high)
+        self.texts += self._texts(a, b, from_a, to_a, from_b, to_b, n_groups, pair)
+        n_pairs, *linked = self._link(a, b, unit, len(units), from_a, wide, from_b, high)
+        return (good, n_a, n_b, n_groups, n_links, n_pairs), tuple(linked)
 
-    def _texts(self, a, b, from_a, to_a, from_b, to_b, pair) -> list[str]:
+    def _texts(self, a, b, from_a, to_a, from_b, to_b, n_groups, pair) -> list[str]:
         a_names, b_names = [pair.a_names[i] for i in a.tolist()], [pair.b_names[i] for i in b.tolist()]
         groups = [f"{a_names[i]}|{b_names[j]}" if i2 - i == 1 == j2 - j else f"{','.join(a_names[i:i2])}|{','.join(b_names[j:j2])}"
                   for i, i2, j, j2 in zip(from_a.tolist(), to_a.tolist(), from_b.tolist(), to_b.tolist())]
-        at = _bounds(self.n_groups).tolist()
+        at = _bounds(n_groups).tolist()
         return [";".join(groups[x:y]) for x, y in zip(at, at[1:])]
 
-    def _link(self, a, b, unit, from_a, wide, from_b, high) -> None:
-        """Distinct id pairs of every unit with the number of links; those of wide groups by their distinct ids."""
+    def _link(self, a, b, unit, n_units, from_a, wide, from_b, high) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct id pairs of every unit with the number of links; those of wide groups by their distinct ids.
+
+        Returned: the number of pairs by unit, all distinct pairs, and by unit their numbers and how often they are linked."""
         small = wide * high <= _WIDE_GROUP
         product = (wide * high)[small]
         nth = _spread(np.zeros(len(product), np.int64), product)
@@ -251,11 +306,11 @@ class Units:
             times.append((m[:, None] * n[None, :]).ravel())
             owners.append(np.full(len(keys[-1]), unit[g]))
         keys, owners, times = map(np.concatenate, (keys, owners, times))
-        self.pairs, numbers = np.unique(keys, return_inverse=True)
-        cells, inverse = np.unique(owners * (len(self.pairs) + 1) + numbers, return_inverse=True)
-        owner, self.link_pair = np.divmod(cells, len(self.pairs) + 1)
-        self.link_times = np.bincount(inverse, weights=times, minlength=len(cells)).astype(np.int64)
-        self.n_pairs = np.bincount(owner, minlength=len(self.n_a))
+        pairs, numbers = np.unique(keys, return_inverse=True)
+        cells, inverse = np.unique(owners * (len(pairs) + 1) + numbers, return_inverse=True)
+        owner, link_pair = np.divmod(cells, len(pairs) + 1)
+        link_times = np.bincount(inverse, weights=times, minlength=len(cells)).astype(np.int64)
+        return np.bincount(owner, minlength=n_units), pairs, link_pair.astype(np.int32), link_times
 
     def documents_by_pair(self, places: list[np.ndarray]) -> np.ndarray:
         """In how many documents, given by the numbers of their units, each pair of the block is linked."""
@@ -287,14 +342,15 @@ def align(docs: DataFrame, vocabulary: str, model: bytes, text: str = "text", ke
     over links. groups_sha256 digests ``a1,a2|b1;a3|b2,b3``.
 
     1. A block of documents becomes numbers of its distinct units (words with what adheres to them). Their tokens' ends,
-       one unit after the other, are two ascending lists, merged along diagonals in pieces of equal work and stitched
-       into groups (``merge_groups``). Results of a block are written once.
+       one unit after the other, are two ascending lists, a portion of units at a time, merged along diagonals in pieces of
+       equal work and stitched into groups (``merge_groups``). Results of a block are written once.
     2. Blocks send their distinct pairs, packed, with their number of documents to buckets by hash; the number of
        buckets grows with the text. A bucket sums its pairs and answers every block. An ``A`` id's highest count is a
        table no longer than the vocabulary, so the driver may hold it.
     3. Answers meet their block, whose units and then documents sum them up.
 
-    Bounded memory: a block (a document of more than ``block_bytes`` is a block of its own, whole) or a bucket; a frequent word
+    Bounded memory: a block with its results (a document of more than ``block_bytes`` is a block of its own, whole) and a portion of
+    its units (at least one, whole), or a bucket; a frequent word
     or pair is one entry a block. Null and empty texts, and those a tokenizer does not spell, have zeros and an empty
     digest and count for no pair. Repeated rows and ids are documents of their own. An empty table gives an empty result.
     Only ``text`` and ``keep`` are read, so no other column can clash; those of ``keep`` come before the results.
@@ -316,21 +372,21 @@ def align(docs: DataFrame, vocabulary: str, model: bytes, text: str = "text", ke
     def aligned(batches):
         pair = Pair.of(vocabulary, model)
         for sequence, block in enumerate(table_blocks(batches, text, block_bytes)):
-            words = Vocabulary()
-            texts = block.column(text).to_pylist()
-            places = [words.numbers(units(x)).astype(np.int64) if x else np.zeros(0, np.int64) for x in texts]
-            names = words.words()
-            del texts
+            words, texts = Vocabulary(), block.column(text)
+            # Few texts at a time are Python's.
+            places = [words.numbers(units(x) if x else []) for i in range(0, len(texts), _TEXTS_AT_ONCE)
+                      for x in texts.slice(i, _TEXTS_AT_ONCE).to_pylist()]
+            kept, names = block.select(list(keep)), words.words()
+            del block, texts, words
             name = block_name(sequence, len(names))
             found = Units(names, pair)
-            del words, names
+            del names
             places = [x if found.good[x].all() else x[:0] for x in places]
             many = found.documents_by_pair(places)
             bucket = (mix(found.pairs.astype(np.uint64)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             order = np.argsort(bucket, kind="stable")
             position = np.empty(len(order), np.int64)
             position[order] = np.arange(len(order))
-            kept = block.select(list(keep))
             yield from documents(kept, name, places, found)
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
             of_block = [found.n_pairs, position[found.link_pair], found.link_times, found.pairs[order] >> 32, found.pairs[order] & 0xFFFFFFFF,
@@ -339,6 +395,9 @@ def align(docs: DataFrame, vocabulary: str, model: bytes, text: str = "text", ke
                 [*[pa.nulls(1, f.type) for f in kept.schema], pa.array([name]), pa.nulls(1, pa.binary()),
                  *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string()), *[pa.array([pack(x)], pa.binary()) for x in of_block]],
                 names=schema.fieldNames())
+            # A suspended generator holds its names, and workers outlive their tasks.
+            del kept, places, found, many, bucket, order, position, of_block
+            give_back()
 
     def documents(kept, name, places, found):
         for start in range(0, len(places), 2000):
@@ -369,6 +428,7 @@ def align(docs: DataFrame, vocabulary: str, model: bytes, text: str = "text", ke
                                                      names=["bucket", "block", "a", "b", "docs"])
 
     def summed(group: pa.Table) -> pa.Table:
+        give_back()
         lists = [[unpack(x) for x in group.column(c).to_pylist()] for c in ("a", "b", "docs")]
         a, b_, many = map(np.concatenate, lists)
         pairs, inverse = np.unique(a << 32 | b_, return_inverse=True)
@@ -394,6 +454,7 @@ def align(docs: DataFrame, vocabulary: str, model: bytes, text: str = "text", ke
     out_schema = T.StructType([*fields, *[T.StructField(n, T.LongType()) for n in (*sums[:4], *sums[5:])], T.StructField(sums[4], T.StringType())])
 
     def placed(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         own = np.asarray(left.column(p).is_null())
         block, rows = left.filter(pa.array(own)), left.filter(pa.array(~own))
         if len(block) != 1:

@@ -1,3 +1,4 @@
+import tracemalloc
 from collections import Counter
 from hashlib import sha256
 
@@ -122,3 +123,61 @@ def test_units_join_to_the_text_and_tokenize_alike(text):
     a, _, b, _, good = pair.encode(parts)
     assert a.tolist() == pair.a.encode(" " + text, add_special_tokens=False).ids and good.all()
     assert b.tolist() == pair.b.encode(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\tab'1.\u3000é\u0301\x1c▁", min_size=1, max_size=12), min_size=1, max_size=12))
+def test_units_of_a_line_tokenize_as_they_do_alone(texts):
+    pair = token_align.Pair.of(*token_align.read_models())
+    parts = list(dict.fromkeys(u for text in texts for u in token_align.units(text)))
+    a, n_a, b, n_b, good = pair.encode(parts)
+    mine = [pair.a.encode(u, add_special_tokens=False).ids for u in parts]
+    theirs = [pair.b.encode(u[1:]) for u in parts]
+    assert [x.tolist() for x in np.split(a, np.cumsum(n_a)[:-1])] == mine and [x.tolist() for x in np.split(b, np.cumsum(n_b)[:-1])] == theirs
+    plain = [u.encode() for u in parts]
+    assert good.tolist() == [b"".join(pair.a_bytes[i] for i in x) == b"".join(pair.b_bytes[i] for i in y) == u for u, x, y in zip(plain, mine, theirs)]
+
+
+@pytest.mark.parametrize("lines", [token_align.lines, lambda units: [*range(0, len(units), 300), len(units)]])
+def test_a_line_that_is_not_spelled_costs_its_own_units_only(models, monkeypatch, lines):
+    """Also where nothing sets odd units apart."""
+    monkeypatch.setattr(token_align, "lines", lines)
+    pair = token_align.Pair.of(*models)
+    parts = [f" word{i}" for i in range(3000)] + [" ▁mark"] + [f" next{i}" for i in range(3000)]
+    seen = []
+    tokens = token_align.Pair._tokens
+    monkeypatch.setattr(token_align.Pair, "_tokens", lambda self, x: seen.append(len(x)) or tokens(self, x))
+    a, n_a, b, n_b, good = pair.encode(parts)
+    assert np.flatnonzero(~good).tolist() == [3000] and len(n_a) == len(n_b) == len(parts)
+    assert a.tolist() == [i for u in parts for i in pair.a.encode(u, add_special_tokens=False).ids]
+    assert b.tolist() == [i for u in parts for i in pair.b.encode(u[1:])]
+    assert len(seen) == 2 and seen[1] <= 300
+
+
+def test_portions_give_what_one_gives(models, monkeypatch):
+    pair = token_align.Pair.of(*models)
+    parts = [u for t in TEXTS if t for u in token_align.units(t)]
+    parts = list(dict.fromkeys(parts + [f" {i * 7919}word{i % 97}" for i in range(500)]))
+    whole = token_align.Units(parts, pair)
+    monkeypatch.setattr(token_align, "_CHARS_AT_ONCE", 40)
+    cut = token_align.Units(parts, pair)
+    assert whole.texts == cut.texts
+    for name in ("good", "n_a", "n_b", "n_groups", "n_links", "pairs", "link_pair", "link_times", "n_pairs"):
+        assert getattr(whole, name).tolist() == getattr(cut, name).tolist()
+    assert len(token_align.Units([], pair).texts) == 0
+
+
+def test_alignment_holds_a_portion_besides_its_results(models, monkeypatch):
+    """Block-long lists of ends, names and links took nearly six times the results."""
+    monkeypatch.setattr(token_align, "_CHARS_AT_ONCE", 1 << 16, raising=False)
+    pair = token_align.Pair.of(*models)
+    parts = [f" {'abcdefghij'[i % 10]}{i * 7919 % 99991}nd{i}" for i in range(60_000)]
+    pair.encode(parts[:100])
+    tracemalloc.start()
+    try:
+        found = token_align.Units(parts, pair)
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(found.texts) == len(parts)
+    assert peak < 2 * held
