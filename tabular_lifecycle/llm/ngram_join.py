@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import release, stage
+from ..runtime import drop_stage, release, stage
 from .blocks import Vocabulary, block_name, lower_words, mix, pack, table_blocks, unpack, word_hashes
 from .common import components, fresh
 
@@ -17,7 +17,7 @@ _GROWTH = 1.6
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 # Shingles for which a bucket of fragments is made.
 SHINGLES_PER_BUCKET = 3 << 20
-# A fragment that more sets of a block, or of all blocks, share is hot: its sets meet in blocks instead of in pairs.
+# A fragment that more sets of a block, or of all blocks, share is hot: those of its sets that need it meet in blocks instead of in pairs.
 _HOT_IN_BLOCK, _HOT = 8, 32
 _MOST_BITS = 1 << 14
 
@@ -81,20 +81,26 @@ class Fragments:
         return self._cuts[c]
 
     def signatures(self, shingles: np.ndarray) -> np.ndarray:
+        return np.concatenate([names for names, _ in self.lists(shingles)])
+
+    def lists(self, shingles: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """For each class and number of fragments: names of those that hold an n-gram, and how many of them a linked
+        set shares at least (it differs in no more fragments than in n-grams)."""
         size = len(shingles)
         own, out = self._class(size), []
         mixed = mix(shingles + _A)
         for c in {own, own - 1} if own and size <= self.largest_partner(self.bounds[own] - 1) else {own}:
             d, k = self._plan(c)
+            apart = self.difference(size, self.largest_partner(size) if c == own else self.bounds[own] - 1)
             while True:
                 at = ((shingles >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
                 starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
                 tag = at[starts] * _B + np.array([(c << 32) + k], np.uint64) * _C
-                out.append(mix(np.add.reduceat(mixed, starts) ^ mix(tag)))
+                out.append((mix(np.add.reduceat(mixed, starts) ^ mix(tag)), len(starts) - apart))
                 if len(starts) > d or k >= 2**31:
                     break
                 k *= 2
-        return np.concatenate(out)
+        return out
 
 
 def set_prints(docs: DataFrame, width: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -175,28 +181,32 @@ def _pairs_of_runs(group: np.ndarray, ref: np.ndarray) -> np.ndarray:
 
 
 def shared_fragments(docs: DataFrame, width: int, above: int, of: int, buckets: int, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Pairs of sets that share a fragment, as (a, b, hot) by set print, and (key, n, bits) of all sets.
+    """Pairs (a, b, hot) of sets that share a fragment, by set print, and (key, n, bits) of all sets.
 
-    A block of documents sends its fragments to buckets by hash, packed: sorted hashes and the numbers of their sets
+    A block of documents sends its fragments to buckets by hash, packed: sorted hashes and the numbers of their lists
     in the block. Hashes are cut to 56 bits, so a pair may be named in vain, but none is lost. Sets that share a
-    fragment are paired with each other; if more than a few do, the fragment is hot: they are joined to one of them
-    (and a block sends only one of its own), so a fragment that a third of the rows share is still a short group.
+    fragment and are of like size are paired with each other; if more than a few share it, it is hot (and a block sends
+    only one of its own sets, so a fragment that a third of the rows share is still a short group). A hot pair is of a
+    fragment and a set. A set needs the hot fragments of a list only if a linked set may share no other of the list: if
+    as many of them are hot as a linked set shares at least. Passages that very many texts quote join none of these.
     """
     low_bits, flag = np.uint64(8), 1 << 30
 
     def run(batches):
         fragments = Fragments(above, of)
         for sequence, block in enumerate(table_blocks(batches, "t")):
-            own: dict[int, tuple[np.ndarray, int, bytes]] = {}
+            own: dict[int, tuple[list, int, bytes]] = {}
             for s in shingle_sets(block.column("t").to_pylist(), width):
                 if len(s):
                     key = class_key(s)[0]
                     if key not in own:
-                        own[key] = fragments.signatures(s) >> low_bits, len(s), bits_of(s)
+                        own[key] = fragments.lists(s), len(s), bits_of(s)
             if not own:
                 continue
-            names, sig = np.array(list(own), np.int64), np.concatenate([x[0] for x in own.values()])
-            who = np.repeat(np.arange(len(own)), [len(x[0]) for x in own.values()])
+            lists = [x for sets, _, _ in own.values() for x in sets]
+            many = [len(x[0]) for x in own.values()]
+            names, sig = np.repeat(np.array(list(own), np.int64), many), np.concatenate([x for x, _ in lists]) >> low_bits
+            who = np.repeat(np.arange(len(lists)), [len(x) for x, _ in lists])
             order = np.lexsort((who, sig))
             sig, who = sig[order], who[order]
             starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
@@ -204,40 +214,46 @@ def shared_fragments(docs: DataFrame, width: int, above: int, of: int, buckets:
             hot = np.repeat(lengths > _HOT_IN_BLOCK, lengths)
             first = np.zeros(len(sig), bool)
             first[starts] = True
-            low = np.repeat(who[starts], lengths)
-            near = np.unique(np.stack([low[hot & ~first], who[hot & ~first]]), axis=1)
-            near = names[near[:, near[0] != near[1]]]
+            held = np.stack([sig[hot & ~first].astype(np.int64), who[hot & ~first]])
             stays = first | ~hot
             sig, who = sig[stays], who[stays] | np.where(hot[stays], flag, 0)
             at = (sig >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(32)
             cuts = np.searchsorted(at, np.arange(buckets + 1, dtype=np.uint64))
-            name = block_name(sequence, len(names))
+            name = block_name(sequence, len(own))
+            of_sets = np.stack([np.repeat([x[1] for x in own.values()], many), [x for _, x in lists]]).astype(np.int64)
+            of_first = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+            bits: list[bytes | None] = [None] * len(lists)
+            for i, x in zip(of_first.tolist(), own.values()):
+                bits[i] = x[2]
             columns = ["bucket", "block", "sigs", "who", "sizes", "bits"]
             binary = lambda x: pa.array([x], pa.binary())
             yield pa.RecordBatch.from_arrays([
-                pa.array([-1 - int(names[0]) % buckets], pa.int32()), pa.array([name]), binary(names.tobytes()), binary(near.tobytes()),
-                binary(np.array([x[1] for x in own.values()], np.int64).tobytes()), pa.array([[x[2] for x in own.values()]], pa.list_(pa.binary()))], names=columns)
+                pa.array([-1 - int(names[0]) % buckets], pa.int32()), pa.array([name]), binary(names.tobytes()), binary(held.tobytes()),
+                binary(of_sets.tobytes()), pa.array([bits], pa.list_(pa.binary()))], names=columns)
             for i in np.flatnonzero(np.diff(cuts)):
                 part = slice(cuts[i], cuts[i + 1])
                 yield pa.RecordBatch.from_arrays([
                     pa.array([i], pa.int32()), pa.array([name]), binary(pack_sorted(sig[part])), binary(pack(who[part])), binary(None),
                     pa.array([None], pa.list_(pa.binary()))], names=columns)
 
-    types = {"a": pa.string(), "x": pa.int64(), "b": pa.string(), "y": pa.int64(), "key": pa.int64(), "n": pa.int64(), "bits": pa.binary(), "hot": pa.bool_()}
+    types = {"a": pa.string(), "x": pa.int64(), "b": pa.string(), "y": pa.int64(), "sig": pa.int64(), "key": pa.int64(), "n": pa.int64(),
+             "least": pa.int64(), "bits": pa.binary()}
 
     def rows(**columns) -> pa.Table:
         size = len(next(iter(columns.values())))
         return pa.table({c: pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in types.items()})
 
     def shared(group: pa.Table) -> pa.Table:
-        """Of a bucket, pairs by block and number; of negative buckets, the sets of blocks and their hot pairs."""
+        """Of a bucket, pairs of lists (block and number) and lists that hold a hot fragment; of negative buckets, the
+        lists of blocks and which of them hold a fragment that is hot in the block."""
         blocks, lists = group.column("block").to_pylist(), list(zip(*(group.column(c).to_pylist() for c in ("sigs", "who", "sizes", "bits"))))
         if group.column("bucket")[0].as_py() < 0:
             out = []
-            for block, (names, near, sizes, bits) in zip(blocks, lists):
-                names, near = np.frombuffer(names, np.int64), (np.frombuffer(near, np.int64) if near else np.zeros(0, np.int64)).reshape(2, -1)
-                out.append(rows(a=[block] * len(names), x=np.arange(len(names)), key=names, n=np.frombuffer(sizes, np.int64), bits=bits))
-                out.append(rows(x=near[0], y=near[1], hot=np.ones(near.shape[1], bool)))
+            for block, (names, held, sizes, bits) in zip(blocks, lists):
+                names, held = np.frombuffer(names, np.int64), np.frombuffer(held, np.int64).reshape(2, -1)
+                sizes = np.frombuffer(sizes, np.int64).reshape(2, -1)
+                out.append(rows(a=[block] * len(names), x=np.arange(len(names)), key=names, n=sizes[0], least=sizes[1], bits=bits))
+                out.append(rows(a=[block] * held.shape[1], x=held[1], sig=held[0]))
             return pa.concat_tables(out)
         lists = [(unpack_sorted(x[0]), unpack(x[1])) for x in lists]
         sig, who = (np.concatenate(x) for x in zip(*lists))
@@ -249,29 +265,36 @@ def shared_fragments(docs: DataFrame, width: int, above: int, of: int, buckets:
         lengths = np.diff(np.append(starts, len(sig)))
         hot = (lengths > _HOT) | np.maximum.reduceat(marked, starts)
         of_run, hot_row = np.repeat(np.arange(len(starts)), lengths), np.repeat(hot, lengths)
-        star = np.unique(np.stack([np.repeat(ref[starts], lengths)[hot_row], ref[hot_row]]), axis=1)
-        star = star[:, star[0] != star[1]]
-        pairs = np.concatenate([star, _pairs_of_runs(of_run[~hot_row], ref[~hot_row])], axis=1)
+        pairs = _pairs_of_runs(of_run[~hot_row], ref[~hot_row])
         side = lambda x: [blocks[i] for i in (x >> 32).tolist()]
-        return rows(a=side(pairs[0]), x=pairs[0] & 0xFFFFFFFF, b=side(pairs[1]), y=pairs[1] & 0xFFFFFFFF, hot=np.arange(pairs.shape[1]) < star.shape[1])
+        return pa.concat_tables([
+            rows(a=side(pairs[0]), x=pairs[0] & 0xFFFFFFFF, b=side(pairs[1]), y=pairs[1] & 0xFFFFFFFF),
+            rows(a=side(ref[hot_row]), x=ref[hot_row] & 0xFFFFFFFF, sig=sig[hot_row].astype(np.int64))])
 
     named = docs.select(F.col(text).alias("t")).mapInArrow(run, "bucket int, block string, sigs binary, who binary, sizes binary, bits array<binary>")
-    found = stage(named.groupBy("bucket").applyInArrow(shared, "a string, x long, b string, y long, key long, n long, bits binary, hot boolean"), "shared")
-    names = found.where("key IS NOT NULL").select("a", "x", "key", "n", "bits")
-    refs = names.select("a", "x", "key")
-    pairs = found.where("b IS NOT NULL").groupBy("a", "x", "b", "y").agg(F.max("hot").alias("hot"))
-    pairs = pairs.join(refs, ["a", "x"]).select("b", "y", "hot", F.col("key").alias("k"))
-    pairs = pairs.join(refs.withColumnsRenamed({"a": "b", "x": "y"}), ["b", "y"]).select(F.col("k").alias("a"), F.col("key").alias("b"), "hot")
-    near = found.where("a IS NULL").select(F.col("x").alias("a"), F.col("y").alias("b"), "hot")
-    pairs = pairs.union(near).where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("hot").alias("hot"))
-    return stage(pairs, "pairs"), stage(names.groupBy("key").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "sets")
+    found = stage(named.groupBy("bucket").applyInArrow(
+        shared, "a string, x long, b string, y long, sig long, key long, n long, least long, bits binary"), "shared")
+    lists = found.where("key IS NOT NULL")
+    refs = lists.select("a", "x", "key", "n")
+    pairs = found.where("b IS NOT NULL").select("a", "x", "b", "y").distinct()
+    pairs = pairs.join(refs, ["a", "x"]).select("b", "y", F.col("key").alias("k"), F.col("n").alias("m"))
+    pairs = pairs.join(refs.withColumnsRenamed({"a": "b", "x": "y"}), ["b", "y"]).where(
+        (F.col("k") != F.col("key")) & (of * F.least("n", "m") >= above * F.greatest("n", "m")))
+    cold = pairs.select(F.least("k", "key").alias("a"), F.greatest("k", "key").alias("b")).distinct()
+    held = found.where("sig IS NOT NULL").groupBy("a", "x").agg(F.collect_list("sig").alias("sigs"))
+    hot = (held.join(lists.select("a", "x", "key", "least"), ["a", "x"]).where(F.size("sigs") >= F.col("least"))
+           .select(F.explode("sigs").alias("a"), F.col("key").alias("b")).distinct())
+    pairs = stage(cold.withColumn("hot", F.lit(False)).union(hot.withColumn("hot", F.lit(True))), "pairs")
+    sets = stage(lists.where("bits IS NOT NULL").groupBy("key").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "sets")
+    drop_stage(found)
+    return pairs, sets
 
 
 def near_pairs(pairs: DataFrame, sets: DataFrame, above: int, of: int, block_sets: int) -> DataFrame:
     """Pairs (a, b) that hold together all sets that may be linked, from pairs that share a fragment.
 
-    Pairs of cold fragments are looked at one by one: only those that their bits do not rule out stay. Sets joined by hot
-    fragments meet in blocks of their bits, and what stays of a pair of blocks is a forest.
+    Pairs of cold fragments are looked at one by one: only those that their bits do not rule out stay. Sets joined by the
+    hot fragments they need meet in blocks of their bits, and what stays of a pair of blocks is a forest.
     """
     types = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -310,7 +333,7 @@ def near_pairs(pairs: DataFrame, sets: DataFrame, above: int, of: int, block_set
 
     by = lambda key, n, bits: sets.select(F.col("key").alias(key), F.col("n").alias(n), F.col("bits").alias(bits))
     cold = pairs.where("NOT hot").join(by("a", "n", "bits"), "a").join(by("b", "m", "others"), "b")
-    cold = cold.where(of * F.least("n", "m") >= above * F.greatest("n", "m")).select("a", "b", "n", "bits", "m", "others").mapInArrow(one_by_one, "a long, b long")
+    cold = cold.select("a", "b", "n", "bits", "m", "others").mapInArrow(one_by_one, "a long, b long")
     joined = components(pairs.where("hot").select("a", "b"))
     members = stage(joined.join(sets, joined.node == sets.key).select("root", "key", "n", "bits"), "hot-sets")
     counts = members.groupBy("root").agg(F.ceil(F.count("*") / block_sets).cast("int").alias("blocks"))

@@ -130,6 +130,35 @@ def test_hot_and_cold_fragments_give_the_same_links(docs, rows, monkeypatch, hot
     assert tuples(out, "d", "n_shingles", "component_id") == Counter(brute.link_components(rows, 3, 90, 100))
 
 
+@pytest.mark.parametrize("hot_in_block, hot", [(8, 32), (100, 4), (1, 1)])
+def test_a_passage_that_many_texts_quote_joins_none_of_them(spark, no_docs, monkeypatch, hot_in_block, hot):
+    monkeypatch.setattr(ngram_join, "_HOT_IN_BLOCK", hot_in_block)
+    monkeypatch.setattr(ngram_join, "_HOT", hot)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [" ".join(f"w{d}x{i}" for i in range(240)) + " " + passage for d in range(80)]
+    texts += [t + f" more{i}" for i, t in enumerate(texts[:3])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], no_docs.schema)
+    pairs, _ = ngram_join.shared_fragments(docs, 5, 80, 100, 3)
+    assert pairs.where("hot").count() <= (0 if hot > 1 else 10_000)
+    out = ngram_join.link_classes(docs)
+    assert {(r.d, r.component_id) for r in out.where("d <> component_id").collect()} == {(80, 0), (81, 1), (82, 2)}
+
+
+def test_linked_sets_share_as_many_fragments_of_a_list_as_it_says():
+    import numpy as np
+
+    random, fragments = np.random.default_rng(6), ngram_join.Fragments(80, 100)
+    for size in [1, 4, 9, 10, 11, 20, 40, 64, 65, 100, 301, 1000] * 4:
+        a = np.unique(random.integers(0, 2**64, size, dtype=np.uint64))
+        for lost, added in ((size // 5, 0), (size // 9, size // 9), (0, size // 4)):
+            b = np.unique(np.concatenate([a[lost:], random.integers(0, 2**64, added, dtype=np.uint64)]))
+            assert 100 * (len(a) - lost) >= 80 * (len(a) + added)
+            for x, y in ((a, b), (b, a)):
+                others = fragments.signatures(y)
+                # Of the lists that both name, the last one has the promise; others are named in addition.
+                assert any(len(np.intersect1d(names, others)) >= max(1, least) for names, least in fragments.lists(x))
+
+
 def test_sorted_hashes_pack():
     import numpy as np
 
