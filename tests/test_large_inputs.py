@@ -1,8 +1,9 @@
 """Work that grows with the rows is done once, and generated methods stay short."""
 
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
-from tabular_lifecycle.operators import features, profile
+from tabular_lifecycle.operators import features, models, profile
 from tabular_lifecycle.registry import model_queries, stump_queries
 
 
@@ -44,3 +45,24 @@ def test_model_attribution_splits_once(spark, monkeypatch):
     monkeypatch.setattr(stump_queries, "shapley_values", lambda *a, **k: rows.select(F.lit(0.0).alias("value")))
     assert stump_queries.model_attribution(spark, "nowhere").first()["value"] == 0.0
     assert len(calls) == 1
+
+
+def test_dealt_rows_are_shuffled_once(spark):
+    rows = spark.range(1000, numPartitions=1).select("id", (F.col("id") % 2).cast("double").alias("target"))
+    dealt = models.spread(rows, ["target", "id"], rows_per_task=250)
+    plan = dealt.filter("id > 3").groupBy().count()._jdf.queryExecution().executedPlan().toString()
+    assert "Existing" in plan and "REPARTITION" not in plan
+    fresh = rows.repartition(dealt.rdd.getNumPartitions()).sortWithinPartitions("target", "id")
+    assert dealt.rdd.glom().collect() == fresh.rdd.glom().collect()
+
+
+def test_all_candidates_of_a_search_read_one_dealing(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, "ab"[i % 2], 0.5 * i, "yes" if i % 3 else "no") for i in range(60)], "k long, c string, x double, y string")
+    inputs, calls, deal = models.Inputs(["x"], ["c"], "y", "yes", ["k"]), [], models.spread
+    monkeypatch.setattr(models, "spread", lambda *a: calls.append(a) or deal(*a, rows_per_task=10))
+    trees = [("tree", DecisionTreeClassifier(featuresCol="features", labelCol="target", maxDepth=d), {"depth": str(d)}) for d in (1, 2)]
+    log, _ = models.search_models(rows, rows, inputs, "e", trees, budget_seconds=float("inf"))
+    assert log.count() == 2 and len(calls) == 1
+    calls.clear()
+    log, _ = models.halving_search(rows, rows, inputs, "e", trees, shares=(0.5, 1.0), budget_seconds=float("inf"))
+    assert log.count() == 3 and len(calls) == 2
