@@ -1,9 +1,10 @@
 """Work that grows with the rows is done once, and generated methods stay short."""
 
 from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tabular_lifecycle.operators import features, models, profile
+from tabular_lifecycle.operators import evaluate, features, models, profile
 from tabular_lifecycle.registry import model_queries, stump_queries
 
 
@@ -47,6 +48,26 @@ def test_model_attribution_splits_once(spark, monkeypatch):
     assert len(calls) == 1
 
 
+def test_metrics_score_every_row_once(spark, capsys):
+    """No filter on the probability is pushed below the model; rows without one, or without a label, take no part."""
+    rows = spark.createDataFrame([(True, 0.75), (False, 0.25), (True, 0.25), (None, 0.5), (False, float("nan"))], "y boolean, p double")
+    rows = rows.unionByName(rows.limit(1).select("y", F.lit(None).cast("double").alias("p")))
+    chance = vector_to_array(array_to_vector(F.array(F.coalesce("p", F.lit(float("nan"))))))[0]
+    scored = rows.select("y", chance.alias("chance"), F.lit("d").alias("dataset"))
+    made = evaluate.classification_metrics(scored, F.col("y"), F.col("chance") > 0.5, F.col("chance"))
+    made.explain()
+    plan = capsys.readouterr().out
+    assert "UDF(" in plan and not [line for line in plan.splitlines() if "Filter" in line and "UDF(" in line]
+    row = made.first()
+    assert abs(row.accuracy_score - 2 / 3) < 1e-12 and row.roc_auc_score == 0.75
+
+
+def test_metrics_of_a_group_without_scores(spark):
+    rows = spark.createDataFrame([("a", True, 0.75), ("a", False, 0.25), ("b", True, None), ("c", None, 0.5)], "dataset string, y boolean, p double")
+    made = evaluate.classification_metrics(rows, F.col("y"), F.col("p") > 0.5, F.col("p")).collect()
+    assert [(r.dataset, r.accuracy_score) for r in made] == [("a", 1.0)]
+
+
 def test_dealt_rows_are_shuffled_once(spark):
     rows = spark.range(1000, numPartitions=1).select("id", (F.col("id") % 2).cast("double").alias("target"))
     dealt = models.spread(rows, ["target", "id"], rows_per_task=250)
