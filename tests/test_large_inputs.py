@@ -1,5 +1,6 @@
 """Work that grows with the rows is done once, and generated methods stay short."""
 
+import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -87,3 +88,17 @@ def test_all_candidates_of_a_search_read_one_dealing(spark, monkeypatch):
     calls.clear()
     log, _ = models.halving_search(rows, rows, inputs, "e", trees, shares=(0.5, 1.0), budget_seconds=float("inf"))
     assert log.count() == 3 and len(calls) == 2
+
+
+def test_saved_model_writes_its_training_rows_once(spark, monkeypatch):
+    rows, seen = _row(spark, ["row_key", "income", *model_queries.INPUTS.columns], (*model_queries.NUMERIC_INPUTS,)), []
+
+    def fit(train, inputs):
+        seen.append(train.inputFiles())
+        raise LookupError
+
+    monkeypatch.setattr(model_queries.fx, "training", lambda *a: rows)
+    monkeypatch.setattr(model_queries.models, "fit_stages", fit)
+    with pytest.raises(LookupError):
+        model_queries.save_and_load(spark, "nowhere")
+    assert seen == [[]]
